@@ -13,14 +13,11 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlflow.operators.records import empty_map, text_map
 from crawlflow.session import configure
 
 INGEST_TIME = datetime(2024, 2, 1, 8, 30, 15, tzinfo=timezone.utc)
 
-SITE_IDS = (
-    "5 60001 70001 90001 100001 200620 300001 300065 300066 -90100 -5 x".split()
-)
+SITE_IDS = tuple("5 60001 70001 90001 100001 200620 300001 300065 300066 -90100 -5 x".split())
 GROUP_IDS = (None, "", "0", "3", "5", "7", "14")
 ID_FORMS = ("crawl-{}", "-{}", "{}", "a-b-{}", "a-")
 
@@ -56,72 +53,67 @@ def gather_text(page_id: Column) -> Column:
     )
 
 
-def message_fields(pages: DataFrame) -> DataFrame:
-    """Pages with a `sent` map: the fields of the page's message."""
+def field_columns() -> dict[str, Column]:
+    """Message fields as columns of the pages; null where the message has no such field."""
     p = F.col("page_id")
     text = p.cast("string")
     case = p % 50
-    shared_hash = F.when(p % 10 == 9, p - 1).otherwise(p) * 7919 - 100000
-
-    def given(condition: Column, name: str, value: Column | str | None) -> Column:
-        one = text_map({name: F.lit(value).cast("string") if not isinstance(value, Column) else value})
-        return F.when(condition, one).otherwise(empty_map())
-
-    group = _cycle(p, GROUP_IDS)
-    gather = gather_text(p)
-    ids = F.array(*[F.replace(F.lit(form), F.lit("{}"), text) for form in ID_FORMS])
-    sent = F.map_concat(
-        text_map(
-            {
-                "site_id": _cycle(p, tuple(SITE_IDS)),
-                "id": F.get(ids, (p % 5).cast("int")),
-                "title": F.concat(F.lit("T"), text),
-                "content": F.col("html"),
-                "snapshot": F.col("html"),
-                "sengine": (p % 23).cast("string"),
-                "stype": (p % 7).cast("string"),
-                "publishtime": gather_text(p + 2),
-                "site_name": F.when(p % 2 == 0, "").otherwise("site"),
-                "site_url": F.lit("http://site.example"),
-                "inserttime": F.lit("2016-11-24 11:57:02"),
-            }
-        ),
-        given(~case.isin(16), "url", page_url(p, F.col("url"))),
-        given(~case.isin(14, 15, 17), "urlhash", shared_hash.cast("string")),
-        given(case == 15, "urlhash", ""),
-        given(case == 17, "urlhash", None),
-        given(group.isNotNull(), "group_id", group),
-        given(gather.isNotNull(), "gathertime", gather),
-        given(gather.isNotNull(), "publishdate", gather),
-        given(p % 8 == 3, "click", None),
-        given(p % 8 == 4, "click", "12"),
-        given(p % 8 == 5, "reply", ""),
-        given(p % 8 == 6, "author", " \t "),
-        given(p % 8 == 7, "author", "writer"),
-        given(p % 4 == 1, "insertime", "2016-11-25 00:00:00"),
-        given(p % 4 == 2, "tendency ", "1"),
-        given(p % 3 == 0, "tendency", "0"),
-        given(p % 9 == 0, "x_extra", F.concat(F.lit("e"), text)),
-    )
-    return pages.select("page_id", sent.alias("sent"))
+    shared_hash = (F.when(p % 10 == 9, p - 1).otherwise(p) * 7919 - 100000).cast("string")
+    ids = [F.replace(F.lit(form), F.lit("{}"), text) for form in ID_FORMS]
+    return {
+        "site_id": _cycle(p, SITE_IDS),
+        "id": F.get(F.array(*ids), (p % 5).cast("int")),
+        "title": F.concat(F.lit("T"), text),
+        "content": F.col("html"),
+        "snapshot": F.col("html"),
+        "sengine": (p % 23).cast("string"),
+        "stype": (p % 7).cast("string"),
+        "publishtime": F.coalesce(gather_text(p + 2), F.lit("")),
+        "site_name": F.when(p % 2 == 0, "").otherwise("site"),
+        "site_url": F.lit("http://site.example"),
+        "inserttime": F.lit("2016-11-24 11:57:02"),
+        "url": F.when(case != 16, page_url(p, F.col("url"))),
+        "urlhash": F.when(case == 15, "").when(~case.isin(14, 17), shared_hash),
+        "group_id": _cycle(p, GROUP_IDS),
+        "gathertime": gather_text(p),
+        "publishdate": gather_text(p),
+        "click": F.when(p % 8 == 4, "12"),
+        "reply": F.when(p % 8 == 5, ""),
+        "author": F.when(p % 8 == 6, " \t ").when(p % 8 == 7, "writer"),
+        "insertime": F.when(p % 4 == 1, "2016-11-25 00:00:00"),
+        "tendency ": F.when(p % 4 == 2, "1"),
+        "tendency": F.when(p % 3 == 0, "0"),
+        "x_extra": F.when(p % 9 == 0, F.concat(F.lit("e"), text)),
+    }
 
 
 def page_messages(spark: SparkSession, sf_dir: str, topic: str = "pages") -> DataFrame:
-    """One message per page, with the columns of a topic."""
-    fields = message_fields(table(spark, sf_dir, "pages"))
+    """One message per page, with the columns of a topic.
+
+    Pages that share a hash share a partition, as topics keyed by hash do.
+    """
     p = F.col("page_id")
-    json = F.to_json("sent")
+    fields = [column.alias(name) for name, column in field_columns().items()]
+    # Fields without a value are left out of the text; two are sent as JSON null.
+    nulls = F.concat(
+        F.when(p % 8 == 3, '"click":null,').otherwise(""),
+        F.when(p % 50 == 17, '"urlhash":null,').otherwise(""),
+        F.when(p % 50 == 13, '"urlhash":"first",').otherwise(""),
+    )
+    sent = table(spark, sf_dir, "pages").select(
+        "page_id", nulls.alias("nulls"), F.to_json(F.struct(*fields)).alias("json")
+    )
+    whole = F.concat(F.lit("{"), F.col("nulls"), F.expr("substring(json, 2)"))
     value = (
         F.when(p % 50 == 11, F.concat(F.lit("not json "), p.cast("string")))
-        .when(p % 50 == 12, F.concat(F.lit("["), json, F.lit("]")))
-        .when(p % 50 == 13, F.concat(F.lit('{"urlhash":"first",'), F.substring(json, 2, 1 << 30)))
-        .otherwise(json)
+        .when(p % 50 == 12, F.concat(F.lit("["), whole, F.lit("]")))
+        .otherwise(whole)
     )
-    return fields.select(
+    return sent.select(
         F.lit(None).cast("string").alias("key"),
         value.alias("value"),
         F.lit(topic).alias("topic"),
-        (p % 4).cast("int").alias("partition"),
+        (F.when(p % 10 == 9, p - 1).otherwise(p) % 4).cast("int").alias("partition"),
         p.alias("offset"),
         F.lit(None).cast("timestamp").alias("timestamp"),
     )
@@ -132,15 +124,11 @@ def reply_messages(spark: SparkSession, sf_dir: str, topic: str = "replies") ->
     docs = table(spark, sf_dir, "documents")
     d = F.col("doc_id")
     text = d.cast("string")
-    sent = F.map_concat(
-        text_map(
-            {
-                "urlhash": (d * 7919 - 100000).cast("string"),
-                "url": F.concat(F.lit("http://bbs.example.com/"), text),
-                "replycontent": F.replace("text", F.lit("\n"), F.lit("|||")),
-            }
-        ),
-        F.when(d % 40 != 7, text_map({"kafkatime": "2016-11-24 11:57:02"})).otherwise(empty_map()),
+    sent = F.struct(
+        (d * 7919 - 100000).cast("string").alias("urlhash"),
+        F.concat(F.lit("http://bbs.example.com/"), text).alias("url"),
+        F.replace("text", F.lit("\n"), F.lit("|||")).alias("replycontent"),
+        F.when(d % 40 != 7, "2016-11-24 11:57:02").alias("kafkatime"),
     )
     return docs.select(
         F.lit(None).cast("string").alias("key"),

@@ -22,7 +22,6 @@ from crawlflow.functions.times import (
     millis_text,
     normalise_time,
     repair_publish_time,
-    time_text,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

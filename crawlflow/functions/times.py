@@ -65,11 +65,6 @@ def millis_text(millis: Column, on_error: Column | str | None) -> Column:
     return F.coalesce(text, fallback)
 
 
-def time_text(instant: Column) -> Column:
-    """Text form of a processing time."""
-    return F.date_format(instant, "yyyy-MM-dd HH:mm:ss")
-
-
 def _compact_to_dashed(text: Column) -> Column:
     """Dashed text from the digits of a 14, 13, 12 or 8 character text, else null."""
     size = F.length(text)

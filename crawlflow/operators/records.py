@@ -73,6 +73,18 @@ def padded(fields: Column, names: Iterable[str]) -> Column:
     return F.map_concat(text_map({name: "" for name in names}), fields)
 
 
+def held(df: DataFrame) -> DataFrame:
+    """The same rows, with every column computed below this point.
+
+    A filter on a derived column is normally rewritten in terms of the source
+    columns and moved down to the scan, which would parse each message once per
+    mention of the column. Passing the row through a one-element explode keeps
+    such filters above.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.explode_outer(F.array(row)).alias("_held")).select("_held.*")
+
+
 def with_records(
     messages: DataFrame, repairs: Mapping[str, str] | None = None, column: str = "fields"
 ) -> DataFrame:
@@ -81,3 +93,10 @@ def with_records(
     return messages.withColumn(column, parse_fields(F.col("value"))).withColumn(
         column, repair_names(F.col(column), repairs or {})
     )
+
+
+def readable_records(
+    messages: DataFrame, repairs: Mapping[str, str] | None = None, column: str = "fields"
+) -> DataFrame:
+    """Messages with their field map, without the unreadable ones."""
+    return held(with_records(messages, repairs, column)).where(F.col(column).isNotNull())

@@ -43,10 +43,7 @@ def dual_or_now(name: str = "gathertime") -> Rule:
 
 
 def dashed_or_zero(name: str = "gathertime") -> Rule:
-    """Unreadable text gives '0'; a missing field gives no time at all."""
-    return lambda r: F.when(
-        r.has(name), millis_text(dashed_millis(r.get(name), r.zone), "0")
-    )
+    return lambda r: millis_text(dashed_millis(r.get(name), r.zone), "0")
 
 
 def dashed_or_drop(name: str) -> Rule:
@@ -371,6 +368,7 @@ FIRST_DIRECT = IngestSpec(
     only_fields=(*fixed.FIRST_JOB_FIELDS, "urlhash"),
     optional=fixed.FIRST_JOB_OPTIONAL_FIELDS,
     required=fixed.FIRST_JOB_FIELDS,
+    required_values=True,
     snapshot="apart",
     interval=5,
 )

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field, replace
-from datetime import datetime
+from datetime import datetime, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,13 +23,13 @@ from crawlflow.functions.domains import host
 from crawlflow.functions.groups import whole_number
 from crawlflow.functions.keys import row_key
 from crawlflow.functions.texts import is_blank
-from crawlflow.functions.times import time_text
 from crawlflow.operators.cells import clean_value, explode_fields, family_of
 from crawlflow.operators.explode import explode_replies, floor_url
 from crawlflow.operators.records import (
     empty_map,
     field as map_field,
     has_field,
+    held,
     padded,
     text_map,
     with_records,
@@ -98,7 +99,8 @@ class IngestSpec:
     key_time:      time after the key; null drops the message
     fields:        declared fields, padded with '' when missing
     repairs:       misspelt field names and their right names
-    required:      fields without which a message is dropped
+    required:      fields without which a message is dropped; with
+                   `required_values` a JSON null counts as missing
     table:         target table, or a rule giving it (null: no table)
     snapshot:      family of the page snapshot: 'apart', 'together', or
                    'apart_if_padded' (apart only where it was missing)
@@ -118,6 +120,7 @@ class IngestSpec:
     derived: tuple[Derived, ...] = ()
     repairs: Mapping[str, str] = field(default_factory=dict)
     required: tuple[str, ...] = ()
+    required_values: bool = False
     snapshot: str = "together"
     blanks: bool = False
     keep_blank: tuple[str, ...] = ()
@@ -146,7 +149,7 @@ class IngestSpec:
         route = self.table(_RoutedRecord(record, self.derived)) if callable(self.table) else F.lit(self.table)
         had_snapshot = record.has(SNAPSHOT) if self.snapshot == "apart_if_padded" else F.lit(False)
 
-        stamped = _with_ingest_time(with_records(messages, self.repairs), ingest_time)
+        stamped = _with_ingest_time(with_records(messages, self.repairs), ingest_time, zone)
         judged = (
             record.staged(stamped)
             .withColumns(keys)
@@ -164,7 +167,7 @@ class IngestSpec:
             F.col("partition").alias("src_partition"),
             F.col("offset").alias("src_offset"),
         )
-        return self._finish(explode_fields(out, drop=self.repairs))
+        return self._finish(explode_fields(held(out), drop=self.repairs))
 
     def _reason(self, record: Record) -> Column:
         """Why a message cannot be stored; null when it can."""
@@ -173,7 +176,8 @@ class IngestSpec:
             has_null = F.exists(F.map_values(record.fields), lambda v: v.isNull())
             checks = checks.when(has_null, "null_value")
         for name in self.required:
-            checks = checks.when(~record.has(name), f"no_{name}")
+            given = F.element_at(record.fields, F.lit(name)).isNotNull()
+            checks = checks.when(~(given if self.required_values else record.has(name)), f"no_{name}")
         checks = checks.when(F.col("_key").isNull(), "no_key")
         if not self.blank_key_ok:
             checks = checks.when(is_blank(F.col("_key")), "blank_key")
@@ -244,7 +248,9 @@ class ReplySpec:
     def with_options(self, **changes) -> ReplySpec:
         return replace(self, **changes)
 
-    def replies(self, messages: DataFrame, ingest_time: datetime) -> DataFrame:
+    def replies(
+        self, messages: DataFrame, ingest_time: datetime, zone: str | None = None
+    ) -> DataFrame:
         """One row per reply, and one per message that cannot be stored (`_reason` set)."""
         fields = F.col("fields")
 
@@ -257,7 +263,7 @@ class ReplySpec:
             reason = reason.when(text(name).isNull(), f"no_{name}")
         reason = reason.when(is_blank(text("urlhash")), "blank_key")
         judged = (
-            _with_ingest_time(with_records(messages), ingest_time)
+            _with_ingest_time(with_records(messages), ingest_time, zone)
             .withColumn("_reason", reason)
             .select(
                 "_reason",
@@ -272,12 +278,12 @@ class ReplySpec:
                 F.when(F.col("_reason").isNull(), text("replycontent")).alias("replycontent"),
             )
         )
-        floors = explode_replies(judged, keep_empty=self.keep_empty)
+        floors = explode_replies(held(judged), keep_empty=self.keep_empty)
         return floors.where(F.col("_reason").isNotNull() | F.col("floorid").isNotNull())
 
     def cells(self, messages: DataFrame, ingest_time: datetime, zone: str | None = None) -> DataFrame:
         """Cells of the replies, dead letters included."""
-        replies = self.replies(messages, ingest_time)
+        replies = self.replies(messages, ingest_time, zone)
         good = F.col("_reason").isNull()
         floor = F.col("floorid").cast("string")
         stored = {
@@ -310,13 +316,16 @@ class ReplySpec:
 Spec = IngestSpec | ReplySpec
 
 
-def _with_ingest_time(df: DataFrame, ingest_time: datetime) -> DataFrame:
-    """One processing time for the whole batch."""
-    instant = F.timestamp_millis(F.lit(epoch_ms(ingest_time)))
+def _with_ingest_time(df: DataFrame, ingest_time: datetime, zone: str | None) -> DataFrame:
+    """One processing time for the whole batch, its text in the given or session zone."""
+    zone_name = zone or df.sparkSession.conf.get("spark.sql.session.timeZone")
+    if ingest_time.tzinfo is None:
+        ingest_time = ingest_time.replace(tzinfo=timezone.utc)
+    local = ingest_time.astimezone(ZoneInfo(zone_name))
     return df.withColumns(
         {
             "_ingest_ms": F.lit(epoch_ms(ingest_time)).cast("long"),
-            "_ingest_time": time_text(instant),
+            "_ingest_time": F.lit(local.strftime("%Y-%m-%d %H:%M:%S")),
         }
     )
 

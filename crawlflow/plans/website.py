@@ -12,7 +12,7 @@ from crawlflow.functions.texts import marked_title, marker_to_empty
 from crawlflow.functions.times import normalise_time, repair_publish_time
 from crawlflow.operators.cells import explode_fields
 from crawlflow.operators.lookups import dimension_lookup, fill_from_dimension
-from crawlflow.operators.records import text_map, with_records
+from crawlflow.operators.records import held, readable_records, text_map
 from crawlflow.operators.routes import index_of
 
 DOCUMENT_FIELDS = (
@@ -41,7 +41,7 @@ def website_documents(messages: DataFrame, sites: DataFrame, languages: DataFram
     def text(name: str):
         return F.element_at("fields", F.lit(name))
 
-    read = with_records(messages).where(F.col("fields").isNotNull())
+    read = readable_records(messages)
     cleaned = read.select(
         *[marker_to_empty(text(name)).alias(name) for name in WEBSITE_TEXT_FIELDS],
         marker_to_empty(text("site_name")).alias("site_name"),
@@ -53,7 +53,7 @@ def website_documents(messages: DataFrame, sites: DataFrame, languages: DataFram
         normalise_time(text("inserttime")).alias("inserttime"),
         text("publishtime").alias("sent_publishtime"),
     )
-    named = fill_from_dimension(cleaned, "site_name", "site_id", sites, "site_id", "site_name")
+    named = fill_from_dimension(held(cleaned), "site_name", "site_id", sites, "site_id", "site_name")
     spoken = dimension_lookup(named, "site_id", languages, "site_id", "language", "site_language")
     staged = spoken.withColumns({"_site": whole_number(F.col("site_id")), "_host": host(F.col("url"))})
     by_rule = (F.col("site_id") != "") & (F.col("given_group") == "")
@@ -73,9 +73,8 @@ def website_documents(messages: DataFrame, sites: DataFrame, languages: DataFram
             "publishtime_str": raw_publish,
         }
     ).withColumn("agg_domain_1", F.col("domain_1"))
-    return documents.withColumn("index", index_of(F.col("group_id"), F.col("_site"))).select(
-        "index", *DOCUMENT_FIELDS
-    )
+    routed = documents.withColumn("index", index_of(F.col("group_id"), F.col("_site")))
+    return held(routed.select("index", *DOCUMENT_FIELDS))
 
 
 def document_cells(documents: DataFrame) -> DataFrame:
