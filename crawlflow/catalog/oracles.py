@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 from crawlflow import fixed_values as fixed
+from crawlflow.catalog.hash_sql import xxh64_ctes
 
 INGEST_MS = "1706776215000"
 INGEST_TEXT = "2024-02-01 08:30:15"
@@ -144,6 +145,9 @@ MESSAGE_FIELDS = {
 } | {"tendency ": "tendency_spaced"}
 
 
+URL_HASHES = xxh64_ctes("SELECT url AS s FROM msg")
+
+
 def cells_sql(
     key: str,
     target: str,
@@ -157,8 +161,14 @@ def cells_sql(
     drop: tuple[str, ...] = (),
     only: tuple[str, ...] | None = None,
     latest: bool = False,
+    hashed: bool = False,
 ) -> str:
-    """Cells of the page messages, from the rules of one job given as SQL."""
+    """Cells of the page messages, from the rules of one job given as SQL.
+
+    With `hashed`, the rules may use `hash`, the hash of the URL.
+    """
+    hashes = f", {URL_HASHES}" if hashed else ""
+    source = "(SELECT * FROM msg LEFT JOIN hashed ON s = url)" if hashed else "msg"
     derived = derived or {}
     names = only or [n for n in dict.fromkeys([*MESSAGE_FIELDS, *pad, *derived]) if n not in drop]
     columns = []
@@ -172,8 +182,8 @@ def cells_sql(
         columns.append(f'CAST({value} AS VARCHAR) AS "{i}_{name}"')
     families = family or ("CASE WHEN name = 'snapshot' THEN 'c2' ELSE 'c1' END" if apart else "'c1'")
     listed = ", ".join(f'"{i}_{n}"' for i, n in enumerate(names))
-    return f"""WITH {MESSAGES},
-    keyed AS (SELECT *, {key} AS k, {target} AS tgt FROM msg WHERE NOT unreadable),
+    return f"""WITH RECURSIVE {MESSAGES}{hashes},
+    keyed AS (SELECT *, {key} AS k, {target} AS tgt FROM {source} WHERE NOT unreadable),
     wide AS (SELECT p, k, tgt, {", ".join(columns)}
              FROM keyed WHERE ({where}) AND k IS NOT NULL AND tgt IS NOT NULL),
     long AS (SELECT p, k, tgt, regexp_replace(numbered, '^[0-9]+_', '') AS name, val
@@ -218,6 +228,7 @@ def ingest_sql() -> dict[str, str]:
         "urlhash": HASH_ID,
         "inserttime": f"'{INGEST_TEXT}'",
     }
+    weibo = dict(pad=fixed.WEIBO_FIELDS, derived={"group_id": "'4'"}, apart=True, hashed=True)
     yixing = dict(
         pad=fixed.YIXING_FIELDS, derived={"tendency": "coalesce(tendency_spaced, tendency, '')"}, drop=("tendency ",)
     )
@@ -255,6 +266,19 @@ def ingest_sql() -> dict[str, str]:
             **{**webpage, "derived": {"group_id": home_group, **DOMAINS}, "latest": True},
         ),
         "webpage": cells_sql(NEW_KEY, "'webpage'", **webpage),
+        "weibo": cells_sql("CAST(hash AS VARCHAR)", "'weibo'", **weibo),
+        "old_weibo": cells_sql(
+            _suffixed("hash", dashed_now),
+            "'weibo'",
+            OLD_WHERE,
+            pad=fixed.WEIBO_FIELDS,
+            derived={"group_id": "'4'", "inserttime": "coalesce(insertime, inserttime)"},
+            drop=("insertime",),
+            apart=True,
+            blanks=all_fields,
+            hashed=True,
+        ),
+        "weibo_timed": cells_sql(_suffixed("hash", dual_now), "'weibo'", **weibo),
         "weibouser": cells_sql("id", "'weibouser'", pad=fixed.WEIBOUSER_FIELDS),
         "yixing": cells_sql(NEW_KEY, "'yixing'", NEW_WHERE, **yixing),
         "zhimei_ask-answer": cells_sql(NEW_KEY, "'ask-answer'", NEW_WHERE, **paper),
@@ -601,10 +625,13 @@ def oracle_sql() -> dict[str, str]:
             FROM floor_rows f LEFT JOIN lasts l ON f.d = l.d
             WHERE f.i <= coalesce(l.last_i, 0) OR (len(f.parts) = 1 AND f.parts[1] = '')""",
         "cells_explode": f"""{cells_sql('urlhash', "'weibo'", pad=fixed.WEIBO_FIELDS, where="urlhash <> ''", apart=True)}""",
-        "rekey_projection": f"""WITH {MESSAGES} SELECT coalesce(CAST({_dashed_ms('gathertime')} AS VARCHAR), '0') AS gather_ms,
+        "url_hash64": f"""WITH RECURSIVE {xxh64_ctes("SELECT url AS s FROM pages")}
+            SELECT page_id, hash FROM pages JOIN hashed ON s = url""",
+        "rekey_projection": f"""WITH RECURSIVE {MESSAGES}, {URL_HASHES}
+            SELECT hash || '_' || {_text_or(_dashed_ms('gathertime'), "'0'")} AS rowkey, CAST(hash AS VARCHAR) AS urlhash,
             content, coalesce(gathertime, '') AS gathertime, inserttime, site_id, site_name, site_url, title, url,
             coalesce(publishdate, publishtime) AS publishtime, {_group('site_id', 'url', '5')} AS group_id,
-            snapshot, '' AS author, '' AS sim_id FROM msg WHERE url IS NOT NULL AND NOT unreadable""",
+            snapshot, '' AS author, '' AS sim_id FROM msg JOIN hashed ON s = url WHERE NOT unreadable""",
         "dead_letters": f"""WITH {MESSAGES}, judged AS (SELECT p, {_REASONS} AS errmsg FROM msg)
             SELECT 'webpage_' || ((p - CASE WHEN p % 10 = 9 THEN 1 ELSE 0 END) % 4) || '_' || p AS rowkey, errmsg, 'webpage' AS topic,
               '{INGEST_TEXT}' AS time FROM judged WHERE errmsg IS NOT NULL""",
@@ -615,6 +642,11 @@ def oracle_sql() -> dict[str, str]:
     }
     for name, sql in ingest_sql().items():
         queries[f"ingest_{name.replace('-', '_')}"] = sql
+    queries["ingest_replies_all_parts"] = f"""WITH parts AS ({queries["reply_explode_all"]}),
+        r AS (SELECT rowkey, url AS "url", CAST(floorid AS VARCHAR) AS "floorid", rowkey AS "urlhash",
+          replycontent AS "replycontent" FROM parts)
+        SELECT 'test' AS target, rowkey, 'c1' AS family, qualifier, value FROM
+        (FROM r UNPIVOT (value FOR qualifier IN ("url", "floorid", "urlhash", "replycontent")))"""
     for name in ("stream_equals_batch", "stream_replay_idempotent"):
         queries[name] = queries["ingest_snapshot"]
     for name, time_name in (("ingest_replies", "kafkatime"), ("ingest_replies_timed", "inserttime")):

@@ -442,11 +442,7 @@ def rekey_projection(spark: SparkSession, sf: str) -> DataFrame:
     rows = _records(spark, sf).select(
         *[F.element_at("fields", F.lit(name)).alias(name) for name in names]
     )
-    rekeyed = rekeyed_rows(rows, zone=ZONE)
-    return rekeyed.select(
-        F.element_at(F.split("rowkey", "_"), -1).alias("gather_ms"),
-        *[c for c in rekeyed.columns if c not in ("rowkey", "urlhash")],
-    )
+    return rekeyed_rows(rows, zone=ZONE)
 
 
 def reply_explode(spark: SparkSession, sf: str) -> DataFrame:
