@@ -10,81 +10,66 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from crawlflow.session import configure
 
 INGEST_TIME = datetime(2024, 2, 1, 8, 30, 15, tzinfo=timezone.utc)
 
 SITE_IDS = tuple("5 60001 70001 90001 100001 200620 300001 300065 300066 -90100 -5 x".split())
-GROUP_IDS = (None, "", "0", "3", "5", "7", "14")
-ID_FORMS = ("crawl-{}", "-{}", "{}", "a-b-{}", "a-")
+_GATHER_FORMS = """element_at(array({day} || ' 11:' || {minute} || ':02', replace({day}, '-', '') || '115702',
+    '2016-13-45 25:61:61', {day} || ' 11:' || {minute} || ':02.9', 'soon', null), cast({p} % 6 + 1 as int))"""
+
+
+def _gather(p: str) -> str:
+    """Time text of page `p`, in one of six forms; null for the last."""
+    day = f"concat('2016-11-', lpad(cast({p} % 28 + 1 as string), 2, '0'))"
+    minute = f"lpad(cast({p} % 60 as string), 2, '0')"
+    return _GATHER_FORMS.format(day=day, minute=minute, p=f"({p})")
+
+
+_P = "page_id"
+_T = "cast(page_id as string)"
+# Message fields as expressions over the pages; null where the message has no such field.
+FIELDS = {
+    "site_id": "element_at(array({}), cast(page_id % 12 + 1 as int))".format(
+        ", ".join(f"'{site}'" for site in SITE_IDS)
+    ),
+    "id": f"element_at(array('crawl-' || {_T}, '-' || {_T}, {_T}, 'a-b-' || {_T}, 'a-'), cast(page_id % 5 + 1 as int))",
+    "title": f"'T' || {_T}",
+    "content": "html",
+    "snapshot": "html",
+    "sengine": "cast(page_id % 23 as string)",
+    "stype": "cast(page_id % 7 as string)",
+    "publishtime": f"coalesce({_gather('(page_id + 2)')}, '')",
+    "site_name": "if(page_id % 2 = 0, '', 'site')",
+    "site_url": "'http://site.example'",
+    "inserttime": "'2016-11-24 11:57:02'",
+    "url": f"""case when page_id % 50 = 16 then null
+        when page_id % 25 = 7 then 'http://mp.weixin.qq.com/s/' || {_T} else url end""",
+    "urlhash": """case when page_id % 50 in (14, 17) then null when page_id % 50 = 15 then ''
+        else cast((page_id - if(page_id % 10 = 9, 1, 0)) * 7919 - 100000 as string) end""",
+    "group_id": "element_at(array(null, '', '0', '3', '5', '7', '14'), cast(page_id % 7 + 1 as int))",
+    "gathertime": _gather(_P),
+    "publishdate": _gather(_P),
+    "click": "if(page_id % 8 = 4, '12', null)",
+    "reply": "if(page_id % 8 = 5, '', null)",
+    "author": "case page_id % 8 when 6 then ' ' || char(9) || ' ' when 7 then 'writer' end",
+    "insertime": "if(page_id % 4 = 1, '2016-11-25 00:00:00', null)",
+    "tendency ": "if(page_id % 4 = 2, '1', null)",
+    "tendency": "if(page_id % 3 = 0, '0', null)",
+    "x_extra": f"if(page_id % 9 = 0, 'e' || {_T}, null)",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _cycle(number: Column, values: tuple[str | None, ...]) -> Column:
-    """Value by number modulo the count; null where the tuple has None."""
-    chosen = F.array(*[F.lit(v).cast("string") for v in values])
-    return F.get(chosen, F.pmod(number, F.lit(len(values))).cast("int"))
-
-
-def page_url(page_id: Column, url: Column) -> Column:
-    """The page's URL, some replaced by article links of the messenger."""
-    link = F.concat(F.lit("http://mp.weixin.qq.com/s/"), page_id.cast("string"))
-    return F.when(page_id % 25 == 7, link).otherwise(url)
-
-
-def gather_text(page_id: Column) -> Column:
-    day = F.lpad((page_id % 28 + 1).cast("string"), 2, "0")
-    minute = F.lpad((page_id % 60).cast("string"), 2, "0")
-    dashed = F.concat(F.lit("2016-11-"), day, F.lit(" 11:"), minute, F.lit(":02"))
-    compact = F.concat(F.lit("201611"), day, F.lit("115702"))
-    form = page_id % 6
-    return (
-        F.when(form == 0, dashed)
-        .when(form == 1, compact)
-        .when(form == 2, "2016-13-45 25:61:61")
-        .when(form == 3, F.concat(dashed, F.lit(".9")))
-        .when(form == 4, "soon")
-    )
-
-
-def field_columns() -> dict[str, Column]:
-    """Message fields as columns of the pages; null where the message has no such field."""
-    p = F.col("page_id")
-    text = p.cast("string")
-    case = p % 50
-    shared_hash = (F.when(p % 10 == 9, p - 1).otherwise(p) * 7919 - 100000).cast("string")
-    ids = [F.replace(F.lit(form), F.lit("{}"), text) for form in ID_FORMS]
-    return {
-        "site_id": _cycle(p, SITE_IDS),
-        "id": F.get(F.array(*ids), (p % 5).cast("int")),
-        "title": F.concat(F.lit("T"), text),
-        "content": F.col("html"),
-        "snapshot": F.col("html"),
-        "sengine": (p % 23).cast("string"),
-        "stype": (p % 7).cast("string"),
-        "publishtime": F.coalesce(gather_text(p + 2), F.lit("")),
-        "site_name": F.when(p % 2 == 0, "").otherwise("site"),
-        "site_url": F.lit("http://site.example"),
-        "inserttime": F.lit("2016-11-24 11:57:02"),
-        "url": F.when(case != 16, page_url(p, F.col("url"))),
-        "urlhash": F.when(case == 15, "").when(~case.isin(14, 17), shared_hash),
-        "group_id": _cycle(p, GROUP_IDS),
-        "gathertime": gather_text(p),
-        "publishdate": gather_text(p),
-        "click": F.when(p % 8 == 4, "12"),
-        "reply": F.when(p % 8 == 5, ""),
-        "author": F.when(p % 8 == 6, " \t ").when(p % 8 == 7, "writer"),
-        "insertime": F.when(p % 4 == 1, "2016-11-25 00:00:00"),
-        "tendency ": F.when(p % 4 == 2, "1"),
-        "tendency": F.when(p % 3 == 0, "0"),
-        "x_extra": F.when(p % 9 == 0, F.concat(F.lit("e"), text)),
-    }
+def message_fields(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """Fields of the page messages, before they become JSON."""
+    columns = [f"{FIELDS[name]} as `{name}`" for name in names]
+    return table(spark, sf_dir, "pages").selectExpr("page_id", *columns)
 
 
 def page_messages(spark: SparkSession, sf_dir: str, topic: str = "pages") -> DataFrame:
@@ -92,49 +77,38 @@ def page_messages(spark: SparkSession, sf_dir: str, topic: str = "pages") -> Dat
 
     Pages that share a hash share a partition, as topics keyed by hash do.
     """
-    p = F.col("page_id")
-    fields = [column.alias(name) for name, column in field_columns().items()]
+    fields = ", ".join(f"'{name}', {sql}" for name, sql in FIELDS.items())
     # Fields without a value are left out of the text; two are sent as JSON null.
-    nulls = F.concat(
-        F.when(p % 8 == 3, '"click":null,').otherwise(""),
-        F.when(p % 50 == 17, '"urlhash":null,').otherwise(""),
-        F.when(p % 50 == 13, '"urlhash":"first",').otherwise(""),
-    )
-    sent = table(spark, sf_dir, "pages").select(
-        "page_id", nulls.alias("nulls"), F.to_json(F.struct(*fields)).alias("json")
+    sent = table(spark, sf_dir, "pages").selectExpr(
+        "page_id",
+        f"to_json(named_struct({fields})) as json",
+        """concat('{', if(page_id % 8 = 3, '"click":null,', ''), if(page_id % 50 = 17, '"urlhash":null,', ''),
+          if(page_id % 50 = 13, '"urlhash":"first",', '')) as opening""",
     )
-    whole = F.concat(F.lit("{"), F.col("nulls"), F.expr("substring(json, 2)"))
-    value = (
-        F.when(p % 50 == 11, F.concat(F.lit("not json "), p.cast("string")))
-        .when(p % 50 == 12, F.concat(F.lit("["), whole, F.lit("]")))
-        .otherwise(whole)
-    )
-    return sent.select(
-        F.lit(None).cast("string").alias("key"),
-        value.alias("value"),
-        F.lit(topic).alias("topic"),
-        (F.when(p % 10 == 9, p - 1).otherwise(p) % 4).cast("int").alias("partition"),
-        p.alias("offset"),
-        F.lit(None).cast("timestamp").alias("timestamp"),
+    return sent.selectExpr(
+        "cast(null as string) as key",
+        """case page_id % 50 when 11 then 'not json ' || page_id
+          when 12 then concat('[', opening, substring(json, 2), ']')
+          else concat(opening, substring(json, 2)) end as value""",
+        f"'{topic}' as topic",
+        "cast((page_id - if(page_id % 10 = 9, 1, 0)) % 4 as int) as partition",
+        "page_id as offset",
+        "cast(null as timestamp) as timestamp",
     )
 
 
 def reply_messages(spark: SparkSession, sf_dir: str, topic: str = "replies") -> DataFrame:
     """One reply thread per document: its lines are the replies."""
-    docs = table(spark, sf_dir, "documents")
-    d = F.col("doc_id")
-    text = d.cast("string")
-    sent = F.struct(
-        (d * 7919 - 100000).cast("string").alias("urlhash"),
-        F.concat(F.lit("http://bbs.example.com/"), text).alias("url"),
-        F.replace("text", F.lit("\n"), F.lit("|||")).alias("replycontent"),
-        F.when(d % 40 != 7, "2016-11-24 11:57:02").alias("kafkatime"),
-    )
-    return docs.select(
-        F.lit(None).cast("string").alias("key"),
-        F.to_json(sent).alias("value"),
-        F.lit(topic).alias("topic"),
-        (d % 4).cast("int").alias("partition"),
-        d.alias("offset"),
-        F.lit(None).cast("timestamp").alias("timestamp"),
+    sent = """to_json(named_struct(
+      'urlhash', cast(doc_id * 7919 - 100000 as string),
+      'url', 'http://bbs.example.com/' || doc_id,
+      'replycontent', replace(text, char(10), '|||'),
+      'kafkatime', if(doc_id % 40 = 7, null, '2016-11-24 11:57:02'))) as value"""
+    return table(spark, sf_dir, "documents").selectExpr(
+        "cast(null as string) as key",
+        sent,
+        f"'{topic}' as topic",
+        "cast(doc_id % 4 as int) as partition",
+        "doc_id as offset",
+        "cast(null as timestamp) as timestamp",
     )

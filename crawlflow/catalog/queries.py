@@ -14,7 +14,7 @@ from crawlflow import fixed_values as fixed
 from crawlflow.catalog.messages import (
     INGEST_TIME,
     SITE_IDS,
-    field_columns,
+    message_fields,
     page_messages,
     reply_messages,
     table,
@@ -29,7 +29,7 @@ from crawlflow.functions.times import (
     dual_millis,
     millis_text,
     normalise_time,
-    repair_publish_time,
+    with_repaired_publish_time,
 )
 from crawlflow.operators import routes
 from crawlflow.operators.cells import (
@@ -62,12 +62,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 ZONE = "UTC"
 
 
-def _sent_columns(spark: SparkSession, sf: str, *names: str) -> DataFrame:
-    """Page message fields before they become JSON."""
-    columns = field_columns()
-    return table(spark, sf, "pages").select("page_id", *[columns[n].alias(n) for n in names])
-
-
 def _records(spark: SparkSession, sf: str, repairs: dict[str, str] | None = None) -> DataFrame:
     """Parsed page messages: page_id and the field map; unreadable ones left out."""
     readable = readable_records(page_messages(spark, sf), repairs)
@@ -104,7 +98,7 @@ def url_hash64(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sites(spark: SparkSession, sf: str) -> DataFrame:
-    return _sent_columns(spark, sf, "site_id", "url", "group_id").withColumn(
+    return message_fields(spark, sf, "site_id", "url", "group_id").withColumn(
         "site", whole_number(F.col("site_id"))
     )
 
@@ -122,31 +116,24 @@ def site_group_intended_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def id_rehash(spark: SparkSession, sf: str) -> DataFrame:
-    ids = _sent_columns(spark, sf, "id")
+    ids = message_fields(spark, sf, "id")
     return ids.select("page_id", "id", rehash_id(F.col("id")).alias("urlhash"))
 
 
 # Times and texts ------------------------------------------------------------------------
 def event_times(spark: SparkSession, sf: str) -> DataFrame:
     """Event times as texts in every form the jobs meet."""
-    dashed = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    compact = F.date_format("ts", "yyyyMMddHHmmss")
-    forms = F.array(
-        dashed,
-        compact,
-        F.lit("2016-13-45 25:61:61"),
-        F.concat(dashed, F.lit(".9")),
-        F.lit("soon"),
-        F.lit(None).cast("string"),
-        F.substring(compact, 1, 8),
-        F.substring(compact, 1, 12),
-        F.substring(compact, 1, 13),
-        F.substring(dashed, 1, 16),
-        F.lit(""),
-        F.lit("NULL"),
+    texts = table(spark, sf, "events").selectExpr(
+        "event_id",
+        "date_format(ts, 'yyyy-MM-dd HH:mm:ss') as d",
+        "date_format(ts, 'yyyyMMddHHmmss') as n",
+    )
+    return texts.selectExpr(
+        "event_id",
+        """element_at(array(d, n, '2016-13-45 25:61:61', d || '.9', 'soon', null, substring(n, 1, 8),
+          substring(n, 1, 12), substring(n, 1, 13), substring(d, 1, 16), '', 'NULL'),
+          cast(event_id % 12 + 1 as int)) as txt""",
     )
-    chosen = F.get(forms, (F.col("event_id") % 12).cast("int"))
-    return table(spark, sf, "events").select("event_id", chosen.alias("txt"))
 
 
 def _now_ms() -> Column:
@@ -186,10 +173,8 @@ def publish_repair(spark: SparkSession, sf: str) -> DataFrame:
     both = times.join(before, "event_id", "left").withColumn(
         "gather", F.coalesce("before", F.lit(fixed.EPOCH_TEXT))
     )
-    publish, raw = repair_publish_time(F.col("txt"), F.col("gather"))
-    return both.select(
-        "event_id", "gather", publish.alias("publishtime"), raw.alias("publishtime_str")
-    )
+    repaired = with_repaired_publish_time(both, "txt", "gather")
+    return repaired.select("event_id", "gather", "publishtime", "publishtime_str")
 
 
 def reverse_text_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -242,11 +227,11 @@ def const_group(spark: SparkSession, sf: str) -> DataFrame:
 
 # Lookups and routes -----------------------------------------------------------------------
 def engine_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return _sent_columns(spark, sf, "sengine").withColumn("metasearch", engine_name(F.col("sengine")))
+    return message_fields(spark, sf, "sengine").withColumn("metasearch", engine_name(F.col("sengine")))
 
 
 def stype_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return _sent_columns(spark, sf, "stype").withColumn("group_id", search_type_group(F.col("stype")))
+    return message_fields(spark, sf, "stype").withColumn("group_id", search_type_group(F.col("stype")))
 
 
 def site_dimension(spark: SparkSession, sf: str) -> DataFrame:
@@ -267,7 +252,7 @@ def language_dimension(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def site_name_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    pages = _sent_columns(spark, sf, "site_id", "site_name")
+    pages = message_fields(spark, sf, "site_id", "site_name")
     named = fill_from_dimension(
         pages, "site_name", "site_id", site_dimension(spark, sf), "site_id", "site_name"
     )
@@ -275,7 +260,7 @@ def site_name_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def language_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    pages = _sent_columns(spark, sf, "site_id")
+    pages = message_fields(spark, sf, "site_id")
     spoken = dimension_lookup(
         pages, "site_id", language_dimension(spark, sf), "site_id", "language", "language"
     )
@@ -353,31 +338,21 @@ def tsv_log_classify(spark: SparkSession, sf: str) -> DataFrame:
 
 def access_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Tab-separated access-log lines made of the events."""
-    e = F.col("event_id")
-    text = e.cast("string")
-    user = F.col("user_id").cast("string")
-
-    def pick(step: int, *values: str) -> Column:
-        return F.get(F.array(*[F.lit(v) for v in values]), (e % step).cast("int"))
-
     at = {
-        0: user,
-        1: F.when(e % 7 == 0, "null").when(e % 7 == 1, "").otherwise(F.concat(F.lit("m"), user)),
-        3: pick(
-            3,
-            "http://www.chexun.com/2016-11-24/123456789.html",
-            "http://www.ihaha.com/2016-11-24/123456789.html",
-            "http://www.example.com/",
-        ),
-        9: F.when(e % 11 == 0, "x").otherwise(text),
-        18: F.when(e % 4 == 0, "9").otherwise("0"),
-        25: pick(5, "100000726;100000730;123456789;987654321", "c", "null", "null", "null"),
-        28: F.when(e % 2 == 0, "null").otherwise("n1"),
-        29: F.when(e % 13 < 6, F.concat(F.lit("d"), text)).otherwise("null"),
-        30: F.when(e % 13 < 10, F.concat(F.lit("t"), text)).otherwise("null"),
+        0: "cast(user_id as string)",
+        1: "case event_id % 7 when 0 then 'null' when 1 then '' else 'm' || user_id end",
+        3: """element_at(array('http://www.chexun.com/2016-11-24/123456789.html',
+            'http://www.ihaha.com/2016-11-24/123456789.html', 'http://www.example.com/'),
+            cast(event_id % 3 + 1 as int))""",
+        9: "if(event_id % 11 = 0, 'x', cast(event_id as string))",
+        18: "if(event_id % 4 = 0, '9', '0')",
+        25: "case event_id % 5 when 0 then '100000726;100000730;123456789;987654321' when 1 then 'c' else 'null' end",
+        28: "if(event_id % 2 = 0, 'null', 'n1')",
+        29: "if(event_id % 13 < 6, 'd' || event_id, 'null')",
+        30: "if(event_id % 13 < 10, 't' || event_id, 'null')",
     }
-    columns = [at.get(i, F.lit("-")) for i in range(31)]
-    return table(spark, sf, "events").select(F.concat_ws("\t", *columns).alias("value"))
+    columns = ", ".join(at.get(i, "'-'") for i in range(31))
+    return table(spark, sf, "events").selectExpr(f"concat_ws(char(9), {columns}) as value")
 
 
 def csv_cells(spark: SparkSession, sf: str) -> DataFrame:

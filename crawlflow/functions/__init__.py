@@ -21,7 +21,7 @@ from crawlflow.functions.times import (
     dual_millis,
     millis_text,
     normalise_time,
-    repair_publish_time,
+    with_repaired_publish_time,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

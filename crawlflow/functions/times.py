@@ -8,32 +8,35 @@ never raises on bad input.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlflow.fixed_values import EPOCH_TEXT, PUBLISH_TIME_PATTERN
 
+# Usual shape: every field at its place. Anything else takes the slower way.
+_PLAIN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?!\d)"
 _DASHED = (
     r"^[ \t]*(\d{1,5})-[ \t]*(\d{1,4})-[ \t]*(\d{1,4}) [ \t]*(\d{1,6}):[ \t]*(\d{1,6}):[ \t]*(\d{1,8})"
 )
-_COMPACT = r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{1,2})"
+_COMPACT = r"^\d{12}(\d{1,2})"
 
 
-def _rolled_over_millis(text: Column, pattern: str, zone: str | None, clock12: bool) -> Column:
-    def part(i: int) -> Column:
-        return F.regexp_extract(text, pattern, i).try_cast("int")
-
-    year, month, day, hour, minute, second = (part(i) for i in range(1, 7))
+def _epoch_millis(parts: list[Column], zone: str | None, clock12: bool = False) -> Column:
+    """Epoch ms of year to second texts; fields out of range roll over."""
+    year, month, day, hour, minute, second = (part.try_cast("int") for part in parts)
     if clock12:
         hour = F.when(hour == 12, 0).otherwise(hour)
     first_of_month = F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1)
     days = F.unix_date(first_of_month).cast("long") + day - 1
     local = days * 86400 + hour.cast("long") * 3600 + minute.cast("long") * 60 + second
     if zone == "UTC":
-        return F.when(text.rlike(pattern), local * 1000)
+        return local * 1000
     zone_column = F.lit(zone) if zone else F.current_timezone()
-    shifted = F.unix_millis(F.to_utc_timestamp(F.timestamp_seconds(local), zone_column))
-    return F.when(text.rlike(pattern), shifted)
+    return F.unix_millis(F.to_utc_timestamp(F.timestamp_seconds(local), zone_column))
+
+
+def _at(text: Column, *places: tuple[int, int]) -> list[Column]:
+    return [F.substring(text, start, size) for start, size in places]
 
 
 def dashed_millis(text: Column, zone: str | None = None, clock12: bool = False) -> Column:
@@ -41,12 +44,18 @@ def dashed_millis(text: Column, zone: str | None = None, clock12: bool = False)
 
     `zone` defaults to the session time zone. With `clock12`, hour 12 is midnight.
     """
-    return _rolled_over_millis(text, _DASHED, zone, clock12)
+    plain = _at(text, (1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))
+    found = [F.regexp_extract(text, _DASHED, i) for i in range(1, 7)]
+    return F.when(text.rlike(_PLAIN), _epoch_millis(plain, zone, clock12)).when(
+        text.rlike(_DASHED), _epoch_millis(found, zone, clock12)
+    )
 
 
 def dual_millis(text: Column, zone: str | None = None) -> Column:
     """Epoch ms of dashed text, or of `yyyyMMddHHmmss` text of at most 14 characters."""
-    compact = _rolled_over_millis(text, _COMPACT, zone, False)
+    digits = _at(text, (1, 4), (5, 2), (7, 2), (9, 2), (11, 2))
+    second = F.regexp_extract(text, _COMPACT, 1)
+    compact = F.when(text.rlike(_COMPACT), _epoch_millis([*digits, second], zone))
     return F.when(F.length(text) <= 14, compact).otherwise(dashed_millis(text, zone))
 
 
@@ -89,22 +98,36 @@ def normalise_time(text: Column) -> Column:
     )
 
 
-def repair_publish_time(text: Column, gather: Column) -> tuple[Column, Column]:
-    """(publish time, raw text kept when the time was replaced).
+def with_repaired_publish_time(df: DataFrame, sent: str, gather: str) -> DataFrame:
+    """Add `publishtime` and `publishtime_str` (the raw text of a replaced time).
 
     The publish time must hold a date between 2000 and 2039; otherwise the
-    (already normalised) gather time takes its place.
+    (already normalised) gather time takes its place. Each step is a column of
+    its own, so no text is matched twice.
     """
-    blank = text.isNull() | text.isin("", "NULL")
-    has_dash = text.contains("-")
-    short = has_dash & (F.length(text) == 16) & text.contains(" ")
-    readable = text.rlike(PUBLISH_TIME_PATTERN)
+    text, gathered = F.col(sent), F.col(gather)
     candidate = (
-        F.when(short, F.concat(text, F.lit(":00")))
-        .when(has_dash, F.when(readable, text))
+        F.when(text.isNull() | text.isin("", "NULL"), gathered)
+        .when(
+            text.contains("-"),
+            F.when((F.length(text) == 16) & text.contains(" "), F.concat(text, F.lit(":00"))).when(
+                text.rlike(PUBLISH_TIME_PATTERN), text
+            ),
+        )
         .otherwise(_compact_to_dashed(text))
     )
-    first = F.when(blank, gather).otherwise(F.coalesce(candidate, gather))
-    first_raw = F.when(~blank & candidate.isNull(), text).otherwise("")
-    good = first.rlike(PUBLISH_TIME_PATTERN) & ~first.contains("&quot;")
-    return F.when(good, first).otherwise(gather), F.when(good, first_raw).otherwise(first)
+    first = F.coalesce(F.col("_candidate"), gathered)
+    good = F.col("_first").rlike(PUBLISH_TIME_PATTERN) & ~F.col("_first").contains("&quot;")
+    replaced = F.when(F.col("_candidate").isNull(), text).otherwise("")
+    return (
+        df.withColumn("_candidate", candidate)
+        .withColumn("_first", first)
+        .withColumn("_good", good)
+        .withColumns(
+            {
+                "publishtime": F.when(F.col("_good"), F.col("_first")).otherwise(gathered),
+                "publishtime_str": F.when(F.col("_good"), replaced).otherwise(F.col("_first")),
+            }
+        )
+        .drop("_candidate", "_first", "_good")
+    )

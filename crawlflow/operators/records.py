@@ -16,18 +16,26 @@ from crawlflow.session import configure
 _JSON_OPTIONS = {"allowUnquotedFieldNames": "true"}
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def empty_map() -> Column:
-    return F.create_map().cast("map<string,string>")
+    return F.expr("cast(map() as map<string,string>)")
 
 
 def text_map(values: Mapping[str, Column | str]) -> Column:
     """Map of literal keys to columns or literal texts."""
     if not values:
         return empty_map()
-    pairs: list[Column] = []
+    if all(isinstance(value, str) for value in values.values()):
+        # One expression text instead of two calls into the JVM per entry.
+        pairs = ", ".join(f"{_quoted(key)}, {_quoted(value)}" for key, value in values.items())
+        return F.expr(f"map({pairs})")
+    columns: list[Column] = []
     for key, value in values.items():
-        pairs += [F.lit(key), value if isinstance(value, Column) else F.lit(value)]
-    return F.create_map(*pairs)
+        columns += [F.lit(key), value if isinstance(value, Column) else F.lit(value)]
+    return F.create_map(*columns)
 
 
 def parse_fields(value: Column) -> Column:
@@ -81,8 +89,7 @@ def held(df: DataFrame) -> DataFrame:
     mention of the column. Passing the row through a one-element explode keeps
     such filters above.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    return df.select(F.explode_outer(F.array(row)).alias("_held")).select("_held.*")
+    return df.selectExpr("explode_outer(array(struct(*))) as _held").select("_held.*")
 
 
 def with_records(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlflow.functions.texts import log_item, log_type
+from crawlflow.operators.records import held
 from crawlflow.sources.tables import access_log_columns
 
 
@@ -14,19 +15,17 @@ def access_records(lines: DataFrame, line: str = "value") -> DataFrame:
 
     A line whose time or car-series number is no number is left out.
     """
-    columns = lines.select(*access_log_columns(F.col(line)))
+    parts = lines.select(F.split(line, "\t").alias("parts"))
+    columns = held(parts.select(*access_log_columns(F.col("parts"))))
     visitor = F.col("muid").isNotNull() & ~F.col("muid").isin("null", "")
     readable = F.col("vtime").isNotNull() & F.col("auto_sid").isNotNull()
     facts = [F.col(c) for c in ("category", "ucp", "news_id", "auto_sid", "dealer_id", "tuan_id")]
     category, page, news, auto_id, dealer, deal = facts
-    return (
-        columns.where(visitor & readable)
-        .select(
-            "vtime",
-            "muid",
-            "uid",
-            log_item(category, page, auto_id, dealer, deal).alias("item"),
-            log_type(category, page, news, auto_id, dealer, deal).alias("types"),
-        )
-        .where(F.col("types").isNotNull())
+    records = columns.where(visitor & readable).select(
+        "vtime",
+        "muid",
+        "uid",
+        log_item(category, page, auto_id, dealer, deal).alias("item"),
+        log_type(category, page, news, auto_id, dealer, deal).alias("types"),
     )
+    return held(records).where(F.col("types").isNotNull())

@@ -9,7 +9,7 @@ from crawlflow.fixed_values import DOMAIN_ENDINGS_ABROAD, WEBSITE_TEXT_FIELDS
 from crawlflow.functions.domains import domain_of_host, host
 from crawlflow.functions.groups import site_group_intended, whole_number
 from crawlflow.functions.texts import marked_title, marker_to_empty
-from crawlflow.functions.times import normalise_time, repair_publish_time
+from crawlflow.functions.times import normalise_time, with_repaired_publish_time
 from crawlflow.operators.cells import explode_fields
 from crawlflow.operators.lookups import dimension_lookup, fill_from_dimension
 from crawlflow.operators.records import held, readable_records, text_map
@@ -32,26 +32,38 @@ DOCUMENT_FIELDS = (
 )
 
 
+_SENT_FIELDS = (
+    *WEBSITE_TEXT_FIELDS,
+    "site_name",
+    "group_id",
+    "language",
+    "title",
+    "content",
+    "gathertime",
+    "inserttime",
+    "publishtime",
+)
+
+
 def website_documents(messages: DataFrame, sites: DataFrame, languages: DataFrame) -> DataFrame:
     """One document per readable message, with its `index` (null: no index takes it).
 
     `sites` has site_id and site_name, `languages` site_id and language.
     """
 
-    def text(name: str):
-        return F.element_at("fields", F.lit(name))
-
-    read = readable_records(messages)
+    read = readable_records(messages).select(
+        *[F.element_at("fields", F.lit(name)).alias(f"_{name}") for name in _SENT_FIELDS]
+    )
     cleaned = read.select(
-        *[marker_to_empty(text(name)).alias(name) for name in WEBSITE_TEXT_FIELDS],
-        marker_to_empty(text("site_name")).alias("site_name"),
-        marker_to_empty(text("group_id")).alias("given_group"),
-        marker_to_empty(text("language")).alias("given_language"),
-        marked_title(text("title")).alias("title"),
-        marked_title(text("content")).alias("content"),
-        normalise_time(text("gathertime")).alias("gathertime"),
-        normalise_time(text("inserttime")).alias("inserttime"),
-        text("publishtime").alias("sent_publishtime"),
+        *[marker_to_empty(F.col(f"_{name}")).alias(name) for name in WEBSITE_TEXT_FIELDS],
+        marker_to_empty(F.col("_site_name")).alias("site_name"),
+        marker_to_empty(F.col("_group_id")).alias("given_group"),
+        marker_to_empty(F.col("_language")).alias("given_language"),
+        marked_title(F.col("_title")).alias("title"),
+        marked_title(F.col("_content")).alias("content"),
+        normalise_time(F.col("_gathertime")).alias("gathertime"),
+        normalise_time(F.col("_inserttime")).alias("inserttime"),
+        F.col("_publishtime").alias("sent_publishtime"),
     )
     named = fill_from_dimension(held(cleaned), "site_name", "site_id", sites, "site_id", "site_name")
     spoken = dimension_lookup(named, "site_id", languages, "site_id", "language", "site_language")
@@ -60,8 +72,8 @@ def website_documents(messages: DataFrame, sites: DataFrame, languages: DataFram
     ladder = site_group_intended(F.col("_site"), F.col("url"), F.col("site_language"))
     outside = (F.col("_site") < 1) | F.col("_site").between(90000, 99999)
     from_lookup = by_rule & outside & ~F.col("url").contains("http://mp.weixin.qq.com")
-    publish, raw_publish = repair_publish_time(F.col("sent_publishtime"), F.col("gathertime"))
-    documents = staged.withColumns(
+    repaired = with_repaired_publish_time(staged, "sent_publishtime", "gathertime")
+    documents = repaired.withColumns(
         {
             "group_id": F.when(by_rule, ladder).otherwise(F.col("given_group")),
             "language": F.when(from_lookup, F.coalesce("site_language", F.lit("")))
@@ -69,8 +81,6 @@ def website_documents(messages: DataFrame, sites: DataFrame, languages: DataFram
             .otherwise(""),
             "domain_1": domain_of_host(F.col("_host"), 1, DOMAIN_ENDINGS_ABROAD),
             "domain_2": domain_of_host(F.col("_host"), 2, DOMAIN_ENDINGS_ABROAD),
-            "publishtime": publish,
-            "publishtime_str": raw_publish,
         }
     ).withColumn("agg_domain_1", F.col("domain_1"))
     routed = documents.withColumn("index", index_of(F.col("group_id"), F.col("_site")))

@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlflow.operators.cells import latest_cells, rows_of, rows_with_columns
+from crawlflow.operators.cells import CELL_KEY, latest_cells, rows_of, rows_with_columns
 
 DEAD_LETTERS = "_dead_letter"
 _FILE_SCHEMA = (
@@ -28,6 +28,10 @@ _FILE_SCHEMA = (
 )
 
 
+def _compacted(table: str) -> str:
+    return f"compact-{table}"
+
+
 def epoch_ms(instant: datetime) -> int:
     if instant.tzinfo is None:
         instant = instant.replace(tzinfo=timezone.utc)
@@ -48,8 +52,13 @@ class KeyedStore:
         batch_id: int,
         put_ms: int,
         max_records_per_file: int | None = None,
+        even_files: bool = False,
     ) -> None:
-        """Write the cells of one batch; a repeated batch replaces the first one."""
+        """Write the cells of one batch; a repeated batch replaces the first one.
+
+        `even_files` adds one shuffle that gathers the small files of a small
+        batch and splits large ones, whatever the skew between tables.
+        """
         positions = {"src_partition": "int", "src_offset": "long"}
         for name, kind in positions.items():
             if name not in cells.columns:
@@ -63,6 +72,8 @@ class KeyedStore:
             "table",
             "family",
         )
+        if even_files:
+            out = out.hint("rebalance", "table", "family")
         write = out.write.mode("overwrite").partitionBy("table", "family")
         if max_records_per_file:
             write = write.option("maxRecordsPerFile", max_records_per_file)
@@ -95,15 +106,31 @@ class KeyedStore:
 
     def exists(self, table: str) -> bool:
         """True when some batch wrote to the table."""
+        return self._readable(f"writer=*/batch_id=*/table={table}")
+
+    def _readable(self, pattern: str) -> bool:
         try:
-            self.cells(table)
-            return True
+            self.spark.read.schema(_FILE_SCHEMA).parquet(f"{self.root}/{pattern}")
         except AnalysisException:
             return False
+        return True
 
     def latest(self, table: str, **scan) -> DataFrame:
-        """Current value of every cell; takes the same limits as `cells`."""
-        return latest_cells(self.cells(table, **scan))
+        """Current value of every cell; takes the same limits as `cells`.
+
+        A compacted table has one row per cell already. Only the cells written
+        since are merged then, together with the compacted cells they meet; the
+        rest passes through without a shuffle while the new keys fit a broadcast.
+        """
+        everything = self.cells(table, **scan)
+        if not self._readable(f"writer={_compacted(table)}/batch_id=0/table={table}"):
+            return latest_cells(everything)
+        is_base = F.col("writer") == _compacted(table)
+        base, added = everything.where(is_base), everything.where(~is_base)
+        keys = added.select(*CELL_KEY).distinct()
+        met = base.join(keys, list(CELL_KEY), "left_semi")
+        untouched = base.join(keys, list(CELL_KEY), "left_anti").select(*CELL_KEY, "value")
+        return untouched.unionByName(latest_cells(added.unionByName(met)))
 
     def rows(self, table: str, **scan) -> DataFrame:
         """Current rows: one map per column family."""
@@ -143,5 +170,5 @@ class KeyedStore:
             "family",
         )
         out.write.mode("overwrite").partitionBy("table", "family").parquet(
-            f"{target.root}/writer=compact-{table}/batch_id=0"
+            f"{target.root}/writer={_compacted(table)}/batch_id=0"
         )

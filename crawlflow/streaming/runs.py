@@ -13,9 +13,23 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from crawlflow.plans.registry import topic_names
 from crawlflow.plans.spec import Spec
 from crawlflow.session import checkpoint_root, configure
 from crawlflow.sources.keyed_store import KeyedStore, epoch_ms
+from crawlflow.sources.messages import KafkaTopics
+
+
+def topics_of(spec: Spec, servers: str, prefix: str = "", partitions: int = 1, **options) -> KafkaTopics:
+    """Kafka subscription of a job, with its rate limit."""
+    return KafkaTopics(
+        servers,
+        topic_names(spec, prefix),
+        rate_per_partition=spec.rate,
+        interval_seconds=spec.interval,
+        partitions=partitions,
+        **options,
+    )
 
 
 def run_batch(
@@ -26,6 +40,7 @@ def run_batch(
     batch_id: int = 0,
     zone: str | None = None,
     max_records_per_file: int | None = None,
+    even_files: bool = False,
 ) -> None:
     """Ingest a whole DataFrame of messages as one batch."""
     store.append(
@@ -34,18 +49,23 @@ def run_batch(
         batch_id=batch_id,
         put_ms=epoch_ms(ingest_time),
         max_records_per_file=max_records_per_file,
+        even_files=even_files,
     )
 
 
 def batch_writer(
-    spec: Spec, store: KeyedStore, zone: str | None = None, now: Callable[[], datetime] | None = None
+    spec: Spec,
+    store: KeyedStore,
+    zone: str | None = None,
+    now: Callable[[], datetime] | None = None,
+    even_files: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """Function for `foreachBatch`: ingest one micro-batch, nothing for an empty one."""
     clock = now or (lambda: datetime.now(timezone.utc))
 
     def write(messages: DataFrame, batch_id: int) -> None:
         if not messages.isEmpty():
-            run_batch(spec, messages, store, clock(), batch_id, zone)
+            run_batch(spec, messages, store, clock(), batch_id, zone, even_files=even_files)
 
     return write
 
@@ -58,6 +78,7 @@ def run_stream(
     available_now: bool = False,
     zone: str | None = None,
     now: Callable[[], datetime] | None = None,
+    even_files: bool = False,
 ) -> StreamingQuery:
     """Start the job on a stream, every `spec.interval` seconds or once over all there is.
 
@@ -68,7 +89,7 @@ def run_stream(
     writer = (
         messages.writeStream.queryName(spec.name)
         .option("checkpointLocation", location)
-        .foreachBatch(batch_writer(spec, store, zone, now))
+        .foreachBatch(batch_writer(spec, store, zone, now, even_files))
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
