@@ -10,7 +10,7 @@ from crawlflow.fixed_values import DOMAIN_BAD_URL, DOMAIN_ENDINGS, DOMAIN_NOT_FO
 # Schemes a JVM can open without extra handlers. parse_url is not used: it
 # accepts every scheme and gives no host for names with an underscore.
 _KNOWN_SCHEME = r"^\s*(?i:url:)?(?i:https?|ftp|file|mailto):"
-_BAD_PORT = r"^\s*(?i:url:)?(?i:https?|ftp|file)://(?:[^/?#@]*@)?[^/?#:\[\]]*:(?!\d*(?:[/?#]|\s*$))"
+_BAD_PORT = r"^\s*(?i:url:)?(?i:https?|ftp|file)://(?:[^/?#@]*@)?+[^/?#:\[\]]*:(?!\d*(?:[/?#]|\s*$))"
 _HOST = r"^\s*(?i:url:)?(?i:https?|ftp|file)://(?:[^/?#@]*@)?([^/?#:\s]*)"
 
 
