@@ -19,6 +19,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "4000")
         .config("spark.driver.memory", "6g")
         .getOrCreate()
     )
