@@ -462,7 +462,7 @@ def ingest(name: str) -> Query:
 def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     cells = WEBPAGE.cells(page_messages(spark, sf, "webpage"), INGEST_TIME, ZONE)
     dead = cells.where((F.col("table") == DEAD_LETTERS) & (F.col("qualifier") != "record"))
-    return rows_with_columns(latest_cells(dead), ["errmsg", "topic", "time"]).drop("table")
+    return rows_with_columns(dead, ["errmsg", "topic", "time"]).drop("table")
 
 
 def dead_letter_summary(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,6 +16,7 @@ from crawlflow.functions.texts import blank_to_empty, is_blank
 
 CELL_COLUMNS = ("table", "rowkey", "family", "qualifier", "value")
 CELL_KEY = ("table", "rowkey", "family", "qualifier")
+ROW_KEY = ("table", "rowkey")
 ORDER_COLUMNS = ("put_ms", "batch_id", "src_partition", "src_offset")
 
 
@@ -79,7 +80,7 @@ def rows_of(latest: DataFrame) -> DataFrame:
     The input holds one row per cell, so a row collects as many entries as it
     has columns.
     """
-    keys = [c for c in ("table", "rowkey") if c in latest.columns]
+    keys = [c for c in ROW_KEY if c in latest.columns]
 
     def family(name: str) -> Column:
         entry = F.when(F.col("family") == name, F.struct("qualifier", "value"))
@@ -88,11 +89,21 @@ def rows_of(latest: DataFrame) -> DataFrame:
     return latest.groupBy(*keys).agg(family("c1"), family("c2"))
 
 
-def rows_with_columns(latest: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Rows of latest cells with the named columns side by side; null where not written."""
-    keys = [c for c in ("table", "rowkey") if c in latest.columns]
+def rows_with_columns(
+    cells: DataFrame, columns: Iterable[str], order: Column | None = None
+) -> DataFrame:
+    """Rows with the current value of the named columns side by side; null where not written.
+
+    Takes all writes of the cells and merges them in the same aggregation that
+    builds the rows, so there is one shuffle, of at most one row per key and task.
+    """
+    by = order if order is not None else order_of(cells)
+    keys = [c for c in ROW_KEY if c in cells.columns]
     names = list(columns)
-    picked = [
-        F.max(F.when(F.col("qualifier") == name, F.col("value"))).alias(name) for name in names
-    ]
-    return latest.where(F.col("qualifier").isin(names)).groupBy(*keys).agg(*picked)
+
+    def current(name: str) -> Column:
+        mine = F.col("qualifier") == name
+        return F.max_by(F.when(mine, F.col("value")), F.when(mine, by)).alias(name)
+
+    wanted = cells.where(F.col("qualifier").isin(names))
+    return wanted.groupBy(*keys).agg(*[current(name) for name in names])

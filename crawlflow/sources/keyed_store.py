@@ -139,7 +139,7 @@ class KeyedStore:
     def columns(self, table: str, names: Iterable[str], **scan) -> DataFrame:
         """Current values of a few columns, side by side."""
         picked = list(names)
-        return rows_with_columns(self.latest(table, columns=picked, **scan), picked)
+        return rows_with_columns(self.cells(table, columns=picked, **scan), picked)
 
     def compact(self, target: KeyedStore, table: str, partitions: int | None = None) -> None:
         """Write the current cells of a table into another store, sorted by row key.

@@ -20,7 +20,7 @@ TEMPLATES = {"zhimei": zhimei, "old_zhimei": old_zhimei}
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", help=f"one of {', '.join(sorted(JOBS))}")
+    parser.add_argument("job", choices=sorted([*JOBS, *TEMPLATES]))
     parser.add_argument("--servers", required=True, help="Kafka bootstrap servers")
     parser.add_argument("--store", required=True, help="folder of the keyed tables")
     parser.add_argument("--topic-prefix", default="")

@@ -67,12 +67,14 @@ def test_rows_and_columns(spark):
         ("t", "1", "c1", "a", "x", 0, 0),
         ("t", "1", "c1", "b", "y", 0, 1),
         ("t", "1", "c2", "snapshot", "s", 0, 2),
-        ("t", "2", "c1", "a", "", 0, 3),
+        ("t", "2", "c1", "a", "old", 0, 3),
     ]
-    latest = latest_cells(spark.createDataFrame(cells, CELL_SCHEMA))
+    cells += [("t", "2", "c1", "a", "", 0, 4)]
+    df = spark.createDataFrame(cells, CELL_SCHEMA)
+    latest = latest_cells(df)
     rows = {r.rowkey: (r.c1, r.c2) for r in rows_of(latest).collect()}
     assert rows == {"1": ({"a": "x", "b": "y"}, {"snapshot": "s"}), "2": ({"a": ""}, {})}
-    picked = {r.rowkey: (r.a, r.b) for r in rows_with_columns(latest, ["a", "b"]).collect()}
+    picked = {r.rowkey: (r.a, r.b) for r in rows_with_columns(df, ["a", "b"]).collect()}
     assert picked == {"1": ("x", "y"), "2": ("", None)}
 
 
