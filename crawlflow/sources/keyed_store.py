@@ -1,6 +1,7 @@
 """Keyed tables on plain parquet: appended cells, merged when read.
 
-Layout: `<root>/writer=<w>/batch_id=<n>/table=<t>/family=<f>/*.parquet`.
+Layout: `<root>/log/writer=<w>/batch_id=<n>/table=<t>/family=<f>/*.parquet` for
+written batches and `<root>/base/writer=<t>/...` for a compacted table.
 
 * A batch is written by one job, without a shuffle, for all tables at once.
 * Writing a batch again replaces its folder, so a replayed batch changes nothing.
@@ -13,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,10 +30,6 @@ _FILE_SCHEMA = (
 )
 
 
-def _compacted(table: str) -> str:
-    return f"compact-{table}"
-
-
 def epoch_ms(instant: datetime) -> int:
     if instant.tzinfo is None:
         instant = instant.replace(tzinfo=timezone.utc)
@@ -77,7 +75,7 @@ class KeyedStore:
         write = out.write.mode("overwrite").partitionBy("table", "family")
         if max_records_per_file:
             write = write.option("maxRecordsPerFile", max_records_per_file)
-        write.parquet(f"{self.root}/writer={writer}/batch_id={batch_id}")
+        write.parquet(f"{self.root}/log/writer={writer}/batch_id={batch_id}")
 
     def cells(
         self,
@@ -92,10 +90,37 @@ class KeyedStore:
         Only the folders of the table (and of the asked families) are listed and
         read; columns and the row-key range [start, stop) become parquet filters.
         """
-        names = list(families) if families else ["*"]
-        base = f"{self.root}/writer=*/batch_id=*/table={table}"
-        reader = self.spark.read.schema(_FILE_SCHEMA).option("basePath", self.root)
-        found = reader.parquet(*[f"{base}/family={name}" for name in names])
+        limits = {"columns": columns, "families": families, "start": start, "stop": stop}
+        parts = [self._scan(part, table, **limits) for part in self._parts(table)]
+        return reduce(DataFrame.unionByName, parts)
+
+    def _parts(self, table: str) -> list[str]:
+        """Folders that hold cells of a table; the log where there are none yet."""
+        return [p for p in ("base", "log") if self._readable(p, table)] or ["log"]
+
+    def _read(self, part: str, table: str, family: str = "*") -> DataFrame:
+        pattern = f"{self.root}/{part}/writer=*/batch_id=*/table={table}/family={family}"
+        reader = self.spark.read.schema(_FILE_SCHEMA).option("basePath", f"{self.root}/{part}")
+        return reader.parquet(pattern)
+
+    def _readable(self, part: str, table: str) -> bool:
+        try:
+            self._read(part, table)
+        except AnalysisException:
+            return False
+        return True
+
+    def _scan(
+        self,
+        part: str,
+        table: str,
+        columns: Iterable[str] | None = None,
+        families: Iterable[str] | None = None,
+        start: str | None = None,
+        stop: str | None = None,
+    ) -> DataFrame:
+        family = "{" + ",".join(families) + "}" if families else "*"
+        found = self._read(part, table, family)
         if columns is not None:
             found = found.where(F.col("qualifier").isin(list(columns)))
         if start is not None:
@@ -106,27 +131,23 @@ class KeyedStore:
 
     def exists(self, table: str) -> bool:
         """True when some batch wrote to the table."""
-        return self._readable(f"writer=*/batch_id=*/table={table}")
-
-    def _readable(self, pattern: str) -> bool:
-        try:
-            self.spark.read.schema(_FILE_SCHEMA).parquet(f"{self.root}/{pattern}")
-        except AnalysisException:
-            return False
-        return True
+        return any(self._readable(part, table) for part in ("base", "log"))
 
     def latest(self, table: str, **scan) -> DataFrame:
         """Current value of every cell; takes the same limits as `cells`.
 
         A compacted table has one row per cell already. Only the cells written
         since are merged then, together with the compacted cells they meet; the
-        rest passes through without a shuffle while the new keys fit a broadcast.
+        rest passes through without a shuffle while the log's measured size lets
+        Spark broadcast its keys, and through a sort-merge join beyond that.
         """
-        everything = self.cells(table, **scan)
-        if not self._readable(f"writer={_compacted(table)}/batch_id=0/table={table}"):
-            return latest_cells(everything)
-        is_base = F.col("writer") == _compacted(table)
-        base, added = everything.where(is_base), everything.where(~is_base)
+        parts = self._parts(table)
+        if len(parts) == 1 and parts[0] == "log":
+            return latest_cells(self._scan("log", table, **scan))
+        base = self._scan("base", table, **scan)
+        if "log" not in parts:
+            return base.select(*CELL_KEY, "value")
+        added = self._scan("log", table, **scan)
         keys = added.select(*CELL_KEY).distinct()
         met = base.join(keys, list(CELL_KEY), "left_semi")
         untouched = base.join(keys, list(CELL_KEY), "left_anti").select(*CELL_KEY, "value")
@@ -170,5 +191,5 @@ class KeyedStore:
             "family",
         )
         out.write.mode("overwrite").partitionBy("table", "family").parquet(
-            f"{target.root}/writer={_compacted(table)}/batch_id=0"
+            f"{target.root}/base/writer={table}/batch_id=0"
         )
