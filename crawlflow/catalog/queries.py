@@ -475,7 +475,7 @@ def website_documents_query(spark: SparkSession, sf: str) -> DataFrame:
     documents = website_documents(
         page_messages(spark, sf), site_dimension(spark, sf), language_dimension(spark, sf)
     )
-    return documents.withColumnRenamed("index", "idx")
+    return documents.withColumnRenamed("index", "idx").drop("partition", "offset")
 
 
 def website_index_counts(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlflow.fixed_values import DOMAIN_ENDINGS_ABROAD, WEBSITE_TEXT_FIELDS
 from crawlflow.functions.domains import domain_of_host, host
 from crawlflow.functions.groups import site_group_intended, whole_number
-from crawlflow.functions.texts import marked_title, marker_to_empty
+from crawlflow.functions.texts import is_blank, marked_title, marker_to_empty
 from crawlflow.functions.times import normalise_time, with_repaired_publish_time
 from crawlflow.operators.cells import explode_fields
 from crawlflow.operators.lookups import dimension_lookup, fill_from_dimension
@@ -32,6 +35,7 @@ DOCUMENT_FIELDS = (
 )
 
 
+POSITION = ("partition", "offset")
 _SENT_FIELDS = (
     *WEBSITE_TEXT_FIELDS,
     "site_name",
@@ -52,9 +56,11 @@ def website_documents(messages: DataFrame, sites: DataFrame, languages: DataFram
     """
 
     read = readable_records(messages).select(
+        *POSITION,
         *[F.element_at("fields", F.lit(name)).alias(f"_{name}") for name in _SENT_FIELDS]
     )
     cleaned = read.select(
+        *POSITION,
         *[marker_to_empty(F.col(f"_{name}")).alias(name) for name in WEBSITE_TEXT_FIELDS],
         marker_to_empty(F.col("_site_name")).alias("site_name"),
         marker_to_empty(F.col("_group_id")).alias("given_group"),
@@ -84,13 +90,40 @@ def website_documents(messages: DataFrame, sites: DataFrame, languages: DataFram
         }
     ).withColumn("agg_domain_1", F.col("domain_1"))
     routed = documents.withColumn("index", index_of(F.col("group_id"), F.col("_site")))
-    return held(routed.select("index", *DOCUMENT_FIELDS))
+    return held(routed.select("index", *DOCUMENT_FIELDS, *POSITION))
 
 
 def document_cells(documents: DataFrame) -> DataFrame:
-    """Cells of the documents that have an index; the URL is the document id."""
+    """Cells of the documents that have an index and a URL, which is the document id."""
     fields = text_map({name: F.col(name) for name in DOCUMENT_FIELDS})
-    kept = documents.where(F.col("index").isNotNull()).select(
-        F.col("index").alias("table"), F.col("url").alias("rowkey"), fields.alias("fields")
+    kept = documents.where(F.col("index").isNotNull() & ~is_blank(F.col("url"))).select(
+        F.col("index").alias("table"),
+        F.col("url").alias("rowkey"),
+        fields.alias("fields"),
+        F.col("partition").alias("src_partition"),
+        F.col("offset").alias("src_offset"),
+    )
+    return explode_fields(kept).select(
+        "table",
+        "rowkey",
+        F.lit("c1").alias("family"),
+        "qualifier",
+        "value",
+        "src_partition",
+        "src_offset",
     )
-    return explode_fields(kept).select("table", "rowkey", F.lit("c1").alias("family"), "qualifier", "value")
+
+
+@dataclass(frozen=True)
+class WebsiteSpec:
+    """The website job, with its dimension tables; runs like any ingest spec."""
+
+    sites: DataFrame
+    languages: DataFrame
+    name: str = "website"
+    topics: tuple[str, ...] = ("outside",)
+    rate: int = 10
+    interval: int = 60
+
+    def cells(self, messages: DataFrame, ingest_time: datetime, zone: str | None = None) -> DataFrame:
+        return document_cells(website_documents(messages, self.sites, self.languages))

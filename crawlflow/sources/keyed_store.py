@@ -30,6 +30,15 @@ _FILE_SCHEMA = (
 )
 
 
+# Characters that a partition folder name holds as %XX.
+_ESCAPED = set("\"#%'*/:=?\\{[]^")
+
+
+def folder_name(table: str) -> str:
+    """Table name as it reads in a folder name."""
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in table)
+
+
 def epoch_ms(instant: datetime) -> int:
     if instant.tzinfo is None:
         instant = instant.replace(tzinfo=timezone.utc)
@@ -99,7 +108,7 @@ class KeyedStore:
         return [p for p in ("base", "log") if self._readable(p, table)] or ["log"]
 
     def _read(self, part: str, table: str, family: str = "*") -> DataFrame:
-        pattern = f"{self.root}/{part}/writer=*/batch_id=*/table={table}/family={family}"
+        pattern = f"{self.root}/{part}/writer=*/batch_id=*/table={folder_name(table)}/family={family}"
         reader = self.spark.read.schema(_FILE_SCHEMA).option("basePath", f"{self.root}/{part}")
         return reader.parquet(pattern)
 
@@ -191,5 +200,5 @@ class KeyedStore:
             "family",
         )
         out.write.mode("overwrite").partitionBy("table", "family").parquet(
-            f"{target.root}/base/writer={table}/batch_id=0"
+            f"{target.root}/base/writer={folder_name(table)}/batch_id=0"
         )

@@ -98,6 +98,29 @@ def run_stream(
     return writer.start()
 
 
+def run_rows(
+    rows: DataFrame,
+    transform: Callable[[DataFrame], DataFrame],
+    write: Callable[[DataFrame], None],
+    checkpoint: str,
+    seconds: int = 5,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Transform every micro-batch and hand it to a table writer, such as `write_jdbc`.
+
+    A plain table has no batch folders, so a batch that fails after its write is
+    written again; the writer decides what a repeated row means.
+    """
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        write(transform(df))
+
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
+    if available_now:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{seconds} seconds").start()
+
+
 def print_stream(lines: DataFrame, seconds: int = 10, available_now: bool = False) -> StreamingQuery:
     """Show the rows of a stream on the console."""
     writer = lines.writeStream.format("console").option("truncate", "false")

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from crawlflow.operators.cells import latest_cells, rows_of, rows_with_columns
 from crawlflow.plans import registry as jobs
+from crawlflow.plans.access_log import access_records
 from crawlflow.plans.rekey import rekey_table
+from crawlflow.plans.website import WebsiteSpec
 from crawlflow.session import checkpoint_root
 from crawlflow.sources.keyed_store import DEAD_LETTERS, KeyedStore, epoch_ms
 from crawlflow.sources.messages import (
@@ -21,7 +23,7 @@ from crawlflow.sources.messages import (
     stream_text,
 )
 from crawlflow.sources.tables import jdbc_options, read_field_list
-from crawlflow.streaming.runs import print_stream, run_batch, run_stream, topics_of
+from crawlflow.streaming.runs import print_stream, run_batch, run_rows, run_stream, topics_of
 
 NOW = datetime(2024, 2, 1, 8, 30, 15, tzinfo=timezone.utc)
 CELL_SCHEMA = (
@@ -274,6 +276,39 @@ def test_text_source_and_console(spark, tmp_path):
     assert query.recentProgress[0]["numInputRows"] == 2
 
 
+def test_access_log_stream(spark, tmp_path):
+    parts = ["-"] * 31
+    parts[0], parts[1], parts[9], parts[18], parts[25], parts[29] = "u", "m", "77", "0", "null", "d1"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.log").write_text("\t".join(parts) + "\n" + "short\tline\n")
+    out = str(tmp_path / "out")
+    query = run_rows(
+        stream_text(spark, str(tmp_path / "in")),
+        access_records,
+        lambda df: df.write.mode("append").parquet(out),
+        str(tmp_path / "ck"),
+        available_now=True,
+    )
+    query.awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(77, "m", "u", "d1", "di")]
+
+
+def test_website_stream(spark, tmp_path):
+    sites = spark.createDataFrame([("5", "five")], "site_id string, site_name string")
+    languages = spark.createDataFrame([("-5", "ru")], "site_id string, language string")
+    sent = [{"url": "http://a.com/1", "site_id": "5", "title": t} for t in ("old", "new")] + [{"site_id": "5"}]
+    write_files(messages(spark, sent), tmp_path / "in", 1)
+    store = KeyedStore(spark, str(tmp_path / "s"))
+    source = stream_message_files(spark, str(tmp_path / "in"))
+    spec = WebsiteSpec(sites, languages)
+    run_stream(spec, source, store, str(tmp_path / "ck"), available_now=True).awaitTermination()
+    rows = store.columns("zong/tests", ["title", "site_name"]).collect()
+    assert [(r.rowkey, r.title, r.site_name) for r in rows] == [("http://a.com/1", "new", "five")]
+    target = KeyedStore(spark, str(tmp_path / "c"))
+    store.compact(target, "zong/tests")
+    assert values(target.latest("zong/tests")) == values(store.latest("zong/tests"))
+
+
 def test_kafka_options():
     topics = topics_of(jobs.ZHIMEI_MIX, "a:1,b:2", prefix="crawl_", partitions=3, earliest=False)
     assert topics.options() == {
