@@ -14,8 +14,3 @@ _SEED_ZERO = -365884300664092260
 def xxh64(text: Column) -> Column:
     """XXH64 with seed 0 over the UTF-8 bytes; 0 for null."""
     return F.xxhash64(F.lit(_SEED_ZERO).cast("long"), text.cast("string"))
-
-
-def bucket(key: Column, buckets: int) -> Column:
-    """Stable bucket number of a row key, used to spread work."""
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlflow.fixed_values import SNAPSHOT
-from crawlflow.functions.texts import blank_to_empty, is_blank
+from crawlflow.functions.texts import blank_to_empty
 
 CELL_COLUMNS = ("table", "rowkey", "family", "qualifier", "value")
 CELL_KEY = ("table", "rowkey", "family", "qualifier")
@@ -52,11 +52,6 @@ def family_of(qualifier: Column, split: bool = True) -> Column:
     return F.when(qualifier == SNAPSHOT, "c2").otherwise("c1") if split else F.lit("c1")
 
 
-def not_blank_cells(cells: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Leave out cells of the named columns whose value is blank."""
-    return cells.where(~(F.col("qualifier").isin(list(names)) & is_blank(F.col("value"))))
-
-
 def order_of(df: DataFrame) -> Column:
     """Write order of cells: by time of the write, then by position in the source."""
     return F.struct(*[F.col(c) for c in ORDER_COLUMNS if c in df.columns])

@@ -59,13 +59,18 @@ def batch_writer(
     zone: str | None = None,
     now: Callable[[], datetime] | None = None,
     even_files: bool = False,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Function for `foreachBatch`: ingest one micro-batch, nothing for an empty one."""
+    """Function for `foreachBatch`: ingest one micro-batch, nothing for an empty one.
+
+    `prepare` turns the rows of the source into messages, such as `from_lines`.
+    """
     clock = now or (lambda: datetime.now(timezone.utc))
 
     def write(messages: DataFrame, batch_id: int) -> None:
         if not messages.isEmpty():
-            run_batch(spec, messages, store, clock(), batch_id, zone, even_files=even_files)
+            batch = prepare(messages) if prepare else messages
+            run_batch(spec, batch, store, clock(), batch_id, zone, even_files=even_files)
 
     return write
 
@@ -79,6 +84,7 @@ def run_stream(
     zone: str | None = None,
     now: Callable[[], datetime] | None = None,
     even_files: bool = False,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Start the job on a stream, every `spec.interval` seconds or once over all there is.
 
@@ -89,7 +95,7 @@ def run_stream(
     writer = (
         messages.writeStream.queryName(spec.name)
         .option("checkpointLocation", location)
-        .foreachBatch(batch_writer(spec, store, zone, now, even_files))
+        .foreachBatch(batch_writer(spec, store, zone, now, even_files, prepare))
     )
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -16,6 +16,7 @@ from crawlflow.sources.keyed_store import DEAD_LETTERS, KeyedStore, epoch_ms
 from crawlflow.sources.messages import (
     MESSAGE_SCHEMA,
     KafkaTopics,
+    from_lines,
     kafka_columns,
     read_message_files,
     read_text_messages,
@@ -276,6 +277,22 @@ def test_text_source_and_console(spark, tmp_path):
     assert query.recentProgress[0]["numInputRows"] == 2
 
 
+def test_text_stream_into_the_store(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text('{"urlhash":"1","a":"x"}\n{"urlhash":"1","a":"y"}\nbad\n')
+    store = KeyedStore(spark, str(tmp_path / "s"))
+    run_stream(
+        jobs.FORUM,
+        stream_text(spark, str(tmp_path / "in")),
+        store,
+        str(tmp_path / "ck"),
+        available_now=True,
+        prepare=lambda lines: from_lines(lines, "forum"),
+    ).awaitTermination()
+    assert values(store.latest("forum")) == {("1", "c1", "urlhash"): "1", ("1", "c1", "a"): "y"}
+    assert store.columns(DEAD_LETTERS, ["record"]).first().record == "bad"
+
+
 def test_access_log_stream(spark, tmp_path):
     parts = ["-"] * 31
     parts[0], parts[1], parts[9], parts[18], parts[25], parts[29] = "u", "m", "77", "0", "null", "d1"
