@@ -12,11 +12,11 @@ coordinates are the buckets: at 24 x 5 a pair with similarity 0.8 meets in none
 Texts of equal words are one node (their copies link to the smallest doc_id and are never compared).
 In each bucket the member with the most bucket mates leads, and all others are compared with it: exact
 Jaccard similarity of the shingle sets, at least `least`. Links make classes. Buckets whose members are
-in several classes go on: a new leader from another class each time, then, after `passes` rounds, the
-remaining pairs of members of different classes. There a bucket of more than `hot` such members is
-first cut finer, by each second band key that its members share (a pair at 0.8 has no second one with
-probability 1e-4). So no pair of a class is compared twice, and large groups of copies cost a
-comparison each, not one a pair.
+in several classes go on: a new leader from another class in each further round up to `passes`, then
+the pairs of members of different classes: by a join in buckets of up to `hot` members; in larger ones
+in blocks, where a task holds up to about 256 documents outside the bucket's largest class and meets
+every member once, so that no row a pair is made. Pairs within a class are not compared again, and a
+large group of copies costs a comparison each.
 
 Classes come from rounds of smallest labels with pointer jumping, as joins. Nothing but counts reaches
 the driver. Comparisons are dealt out by leader in chunks, so a leader of very many is split.
@@ -34,7 +34,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlflow.llm.pieces import portions
@@ -188,7 +188,7 @@ def _compared(least: float):
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float, chunk: int = 256) -> DataFrame:
     """lead, member, similarity of the pairs (lead, member; distinct) that are similar enough."""
-    counts = pinned(pairs.groupBy("lead").agg(F.ceil(F.count("*") / chunk).alias("chunks")))
+    counts = pairs.groupBy("lead").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
     large = counts.filter("chunks > 1")
     cut = pairs.join(large, "lead", "left").select(
         "lead", "member", F.coalesce(F.pmod(F.xxhash64("member"), "chunks"), F.lit(0)).alias("chunk")
@@ -208,20 +208,28 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float, chunk: int = 256)
     return pinned(dealt.mapInArrow(_compared(least), "lead bigint, member bigint, similarity double"))
 
 
-def classes_of(links: DataFrame, a: str, b: str) -> DataFrame:
-    """doc_id and label, the smallest doc_id that links reach, of all documents with links."""
-    both = pinned(links.select(F.col(a).alias("x"), F.col(b).alias("y")).unionAll(links.select(F.col(b), F.col(a))))
-    labels = pinned(both.groupBy(F.col("x").alias("doc_id")).agg(F.least(F.min("y"), F.first("x")).alias("label")))
+def classes_of(links: DataFrame) -> DataFrame:
+    """doc_id and label, the smallest doc_id that links reach, of all documents with links (lead, member)."""
+    lead, member = F.col("lead"), F.col("member")
+    ends = F.explode(
+        F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in ((lead, member), (member, lead), (lead, lead), (member, member))])
+    )
+    both = links.select(ends.alias("e")).select("e.*")  # with each document beside itself
+
+    def step(labels: DataFrame) -> DataFrame:
+        """Each document takes the smallest label around it, then that label's own."""
+        of = labels.select(F.col("doc_id").alias("of"), "label")
+        heard = both.join(of, F.col("y") == F.col("of")).groupBy(F.col("x").alias("doc_id")).agg(F.min("label").alias("label"))
+        jump = labels.select(F.col("doc_id").alias("at"), F.col("label").alias("beyond"))
+        return heard.join(jump, F.col("label") == F.col("at")).select("doc_id", F.least("label", "beyond").alias("label"))
+
+    labels = pinned(both.groupBy(F.col("x").alias("doc_id")).agg(F.min("y").alias("label")))
     while True:
-        of = labels.select(F.col("doc_id").alias("y"), F.col("label").alias("of_y"))
-        heard = both.join(of, "y").groupBy(F.col("x").alias("doc_id")).agg(F.min("of_y").alias("heard"))
-        lower = labels.join(heard, "doc_id").select("doc_id", F.col("label").alias("was"), F.least("label", "heard").alias("label"))
-        jump = lower.select(F.col("doc_id").alias("label"), F.col("label").alias("beyond"))
-        moved = pinned(
-            lower.join(jump, "label", "left").select("doc_id", "was", F.least("label", F.coalesce("beyond", "label")).alias("label"))
-        )
-        labels = moved.select("doc_id", "label")
-        if moved.filter("label <> was").isEmpty():
+        lower = pinned(step(step(labels)))
+        before = labels.select(F.col("doc_id").alias("of"), F.col("label").alias("was"))
+        changed = lower.join(before, F.col("doc_id") == F.col("of")).filter("label <> was")
+        labels = lower
+        if changed.isEmpty():
             return labels
 
 
@@ -240,12 +248,8 @@ def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     return pinned(classed.join(several, F.col("key") == F.col("open")).drop("open"))
 
 
-def _ordered(a, b) -> list:
-    return [F.least(a, b).alias("lead"), F.greatest(a, b).alias("member")]
-
-
 def near_classes(
-    docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int = 5, passes: int = 2, hot: int = 64
+    docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int = 5, passes: int = 1, hot: int = 16
 ) -> DataFrame:
     """doc_id, class_id, class_size and kept of every row."""
     sigs = pinned(signed(docs, bands, rows))
@@ -284,17 +288,18 @@ def near_classes(
             if current.isEmpty():
                 break
         if turn < passes:
-            pairs = _pairs_with_leader(current, first=turn == 0)
+            pairs = _pairs_with_leader(current, turn == 0)
         else:
-            pairs = _remaining_pairs(current, nodes, hot)
-        pairs = pairs.distinct()
+            large = _links_in_blocks(current.filter(F.col("n") > hot), texts, least)
+            links = links.unionByName(large)
+            pairs = _remaining_pairs(current.filter(F.col("n") <= hot))
         if tested is not None:
             pairs = pairs.join(tested, ["lead", "member"], "left_anti")
-        pairs = pinned(pairs)
-        found = verified(_by_leader(pairs), texts, least)
-        links = found if links is None else pinned(links.unionByName(found))
+        pairs = pinned(pairs.distinct())
+        found = verified(pairs, texts, least)
+        links = found if links is None else links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = classes_of(links, "lead", "member")
+        labels = classes_of(links)
 
     named = labels.select(F.col("doc_id").alias("of"), "label")
     nodes_of = (
@@ -320,54 +325,103 @@ def near_classes(
     )
 
 
+def _strength(degree: str = "degree", doc_id: str = "doc_id") -> Column:
+    """Order of documents: of a pair, the stronger leads."""
+    return F.struct(F.col(degree).alias("degree"), (-F.col(doc_id)).alias("minus"))
+
+
 def _pairs_with_leader(members: DataFrame, first: bool) -> DataFrame:
-    """Pairs of each bucket's leader with its members of other classes.
+    """Pairs of each bucket's strongest member with its weaker members of other classes.
 
     Later turns lead from another class than the strongest member's, which has led before.
     """
-    strength = F.struct("degree", (-F.col("doc_id")).alias("minus"), "class")
-    top = members.groupBy("key").agg(F.max(strength).alias("top"))
+    ranked = members.withColumn("s", F.struct(_strength().alias("by"), "class"))
+    top = ranked.groupBy("key").agg(F.max("s").alias("top")).withColumnRenamed("key", "of_key")
     if not first:
-        before = top.select(F.col("key").alias("of"), F.col("top.class").alias("led"))
-        rest = members.join(pinned(before), (F.col("key") == F.col("of")) & (F.col("class") != F.col("led")))
-        top = rest.groupBy("key").agg(F.max(strength).alias("top"))
-    leaders = top.select(
-        F.col("key").alias("of_key"), (-F.col("top.minus")).alias("leader"), F.col("top.class").alias("of_class")
+        rest = ranked.join(pinned(top), (F.col("key") == F.col("of_key")) & (F.col("class") != F.col("top.class")))
+        top = rest.groupBy("key").agg(F.max("s").alias("top")).withColumnRenamed("key", "of_key")
+    met = ranked.join(
+        pinned(top),
+        (F.col("key") == F.col("of_key")) & (F.col("class") != F.col("top.class")) & (F.col("s.by") < F.col("top.by")),
     )
-    met = members.join(pinned(leaders), (F.col("key") == F.col("of_key")) & (F.col("class") != F.col("of_class")))
-    return met.select(*_ordered(F.col("leader"), F.col("doc_id")))
-
-
-def _remaining_pairs(members: DataFrame, nodes: DataFrame, hot: int) -> DataFrame:
-    """All pairs of different classes in the buckets; in large ones only those with a second key in common."""
-    small = members.filter(F.col("n") <= hot).select("key", "doc_id", "class")
-    large = members.filter(F.col("n") > hot).select("key", "doc_id", "class")
-    second = nodes.select(F.col("doc_id").alias("of"), F.explode("keys").alias("other"))
-    finer = (
-        large.join(second, F.col("doc_id") == F.col("of"))
-        .filter("other <> key")
-        .select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "doc_id", "class")
-        .distinct()
+    return met.select((-F.col("top.by.minus")).alias("lead"), F.col("doc_id").alias("member"))
+
+
+def _remaining_pairs(members: DataFrame) -> DataFrame:
+    """All pairs of different classes in buckets, the stronger first."""
+    every = members.withColumn("by", _strength())
+    other = every.select(
+        F.col("key").alias("of"), F.col("doc_id").alias("mate"), F.col("class").alias("mate_class"), F.col("by").alias("mate_by")
     )
-    every = pinned(small.unionByName(finer))
-    other = every.select(F.col("key").alias("of"), F.col("doc_id").alias("mate"), F.col("class").alias("mate_class"))
-    met = every.join(other, (F.col("key") == F.col("of")) & (F.col("doc_id") < F.col("mate")) & (F.col("class") != F.col("mate_class")))
+    met = every.join(other, (F.col("key") == F.col("of")) & (F.col("by") > F.col("mate_by")) & (F.col("class") != F.col("mate_class")))
     return met.select(F.col("doc_id").alias("lead"), F.col("mate").alias("member"))
 
 
-def _by_leader(pairs: DataFrame) -> DataFrame:
-    """Pairs turned so that the document in more of them leads: its shingles are computed once a chunk."""
-    uses = pinned(
-        pairs.select(F.col("lead").alias("of")).unionAll(pairs.select("member")).groupBy("of").agg(F.count("*").alias("uses"))
+def _against_block(least: float):
+    """Rows (key, block, side, doc_id, class, text) in order: a block's documents (side 0), then those it meets."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        at, held, ready = None, [], None
+
+        def links_of(doc_id, class_, text):
+            nonlocal ready
+            if ready is None:
+                sets = [np.unique(shingles(t or "")) for _, _, t in held]
+                sizes = np.array([len(x) for x in sets])
+                grams = np.concatenate(sets)
+                order = np.argsort(grams, kind="stable")
+                owners = np.repeat(np.arange(len(sets)), sizes)[order]
+                ready = grams[order], owners, sizes, np.array([c for _, c, _ in held])
+            grams, owners, sizes, classes = ready
+            mine = np.unique(shingles(text or ""))
+            low, high = np.searchsorted(grams, mine), np.searchsorted(grams, mine, "right")
+            n = high - low
+            places = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+            common = np.bincount(owners[places], minlength=len(sizes))
+            union = sizes + len(mine) - common
+            for k in np.flatnonzero((common >= least * union) & (union > 0) & (classes != class_)):
+                yield held[k][0], doc_id, common[k] / union[k]
+
+        for batch in batches:
+            links = []
+            for key, block, side, doc_id, class_, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (key, block) != at:
+                    at, held, ready = (key, block), [], None
+                if side == 0:
+                    held.append((doc_id, class_, text))
+                else:
+                    links += links_of(doc_id, class_, text)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[i] for x in links], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))],
+                names=["lead", "member", "similarity"],
+            )
+
+    return run
+
+
+def _links_in_blocks(members: DataFrame, texts: DataFrame, least: float, block: int = 256) -> DataFrame:
+    """Links between classes in large buckets, found without a row a pair.
+
+    The members outside a bucket's largest class are cut into blocks; each block's task holds its sets and
+    meets every member once.
+    """
+    counts = members.groupBy("key", "class").agg(F.count("*").alias("c"))
+    largest = pinned(
+        counts.groupBy(F.col("key").alias("of"))
+        .agg(F.max(F.struct("c", "class")).alias("m"), F.sum("c").alias("all"))
+        .select("of", F.col("m.class").alias("big"), F.ceil((F.col("all") - F.col("m.c")) / block).alias("blocks"))
+    )
+    placed = members.select("key", "doc_id", "class").join(largest, F.col("key") == F.col("of"))
+    holding = placed.filter(F.col("class") != F.col("big")).select(
+        "key", F.pmod(F.xxhash64("doc_id"), "blocks").alias("block"), F.lit(0).alias("side"), "doc_id", "class"
     )
-    a = uses.select(F.col("of").alias("of_a"), F.col("uses").alias("uses_a"))
-    b = uses.select(F.col("of").alias("of_b"), F.col("uses").alias("uses_b"))
-    known = pairs.join(a, F.col("lead") == F.col("of_a")).join(b, F.col("member") == F.col("of_b"))
-    turn = F.col("uses_b") > F.col("uses_a")
-    return known.select(
-        F.when(turn, F.col("member")).otherwise(F.col("lead")).alias("lead"),
-        F.when(turn, F.col("lead")).otherwise(F.col("member")).alias("member"),
+    meeting = placed.select(
+        "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("side"), "doc_id", "class"
     )
+    rows = holding.unionByName(meeting).join(texts.withColumnRenamed("doc_id", "named"), F.col("doc_id") == F.col("named")).drop("named")
+    dealt = rows.repartition("key", "block").sortWithinPartitions("key", "block", "side", "doc_id")
+    found = dealt.mapInArrow(_against_block(least), "lead bigint, member bigint, similarity double")
+    return pinned(found.dropDuplicates(["lead", "member"]))
 
 
 def near_dedup(docs: DataFrame, **options) -> DataFrame:

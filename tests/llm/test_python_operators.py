@@ -158,7 +158,7 @@ def test_links_of_members_whose_leaders_differ(spark):
             words[rng.randrange(200)] = f"w{rng.randint(0, 10**6)}"
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     expected = brute_classes(docs.collect())
-    for options in ({}, {"passes": 1, "hot": 2}):
+    for options in ({}, {"passes": 2, "hot": 2}, {"hot": 0}):
         assert {r.doc_id: r.class_id for r in near_dedup.near_classes(docs, **options).collect()} == expected
 
 
