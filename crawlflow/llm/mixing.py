@@ -58,23 +58,26 @@ def fit_classifier(
     taught = drawn.join(docs.select("doc_id", "text"), F.col("of") == F.col("doc_id")).select(
         "domain", words_of(F.lower(text_of(F.col("text")))).alias("words")
     )
+    taught = pinned(taught)
+    n_docs = {r["domain"]: r["count"] for r in taught.groupBy("domain").count().collect()}
+    total = sum(n_docs.values())
+    priors = [math.log((n_docs.get(d, 0) + 1) / (total + len(domains))) for d in domains]
+    weights: dict[int, list[float]] = {}
+    if not total:
+        return priors, weights, buckets
     # Each word of a document counts once, so that long texts do not drown short ones.
     counted = (
         taught.select("domain", F.explode(F.array_distinct(_buckets(F.col("words"), buckets))).alias("bucket"))
-        .groupBy("bucket", "domain")
-        .count()
-        .collect()
+        .groupBy("bucket")
+        .agg(F.count("*").alias("rows"), *[F.count_if(F.col("domain") == d).alias(f"n_{d}") for d in domains])
     )
-    n_docs = {r["domain"]: r["count"] for r in taught.groupBy("domain").count().collect()}
-    total = sum(n_docs.values())
-    priors = [math.log((n_docs.get(d, 0) + 1) / (total + len(domains))) for d in domains]
-    seen = {(r["bucket"], r["domain"]): r["count"] for r in counted}
-    weights = {}
-    for b in {b for b, _ in seen}:
-        here = [seen.get((b, d), 0) for d in domains]
-        usual = [sum(here) * n_docs.get(d, 0) / total for d in domains]
-        if max(abs(h - u) / math.sqrt(u + 0.5) for h, u in zip(here, usual, strict=True)) < least_z:
-            continue
+    deviations = []
+    for d in domains:
+        usual = F.col("rows") * (n_docs.get(d, 0) / total)
+        deviations.append(F.abs(F.col(f"n_{d}") - usual) / F.sqrt(usual + 0.5))
+    # Of at most `buckets` rows, those that tell the domains apart.
+    for row in counted.filter(F.greatest(*deviations) >= least_z).collect():
+        here, b = [row[f"n_{d}"] for d in domains], row["bucket"]
         overall = sum(here) / total
         # Shrunk to the share over all domains, so that rare words tell little.
         shares = [(h + prior_rows * overall) / (n_docs.get(d, 0) + prior_rows) for h, d in zip(here, domains, strict=True)]
@@ -164,6 +167,7 @@ def fit_rates(
     steps: list[list[float]] = []
     reached = there
     for _ in range(iterations):
+        last = reached
         gap = [t - r for t, r in zip(targets, reached, strict=True)]
         if max(map(abs, gap)) <= tolerance * budget:
             break
@@ -172,6 +176,8 @@ def fit_rates(
         held = narrow.select("n_tokens", "p", F.explode(F.array(rate)).alias("rate"))
         row = held.agg(*[F.sum(F.col("rate") * p[k] * F.col("n_tokens")).alias(f"t{k}") for k in range(n)]).first()
         reached = [row[f"t{k}"] or 0.0 for k in range(n)]
+        if max(abs(r - x) for r, x in zip(reached, last, strict=True)) <= tolerance * budget / 20:
+            break  # as near as rates within their bounds come
     return steps, targets, reached
 
 

@@ -24,7 +24,9 @@ def brute_rates(tokens, p, weights, iterations=25, tolerance=0.002):
         gap = targets - rate @ n
         if abs(gap).max() <= tolerance * budget:
             break
-        rate = np.clip(rate + p @ (gap / there), 0, 1)
+        last, rate = rate @ n, np.clip(rate + p @ (gap / there), 0, 1)
+        if abs(rate @ n - last).max() <= tolerance * budget / 20:
+            break
     return rate
 
 
