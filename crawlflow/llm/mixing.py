@@ -152,7 +152,10 @@ def fit_rates(
     tolerance: float = 0.002,
     domains: tuple = DOMAINS,
 ) -> tuple[list[list[float]], list[float], list[float]]:
-    """Steps, targets and reached tokens of the domains. `budget`: tokens in all; None: the most without repeats."""
+    """Steps, targets and reached tokens of the domains.
+
+    `budget`: tokens in all; None: as many as keep the domain of the largest weight whole.
+    """
     n = len(domains)
     p = [F.col("p")[k] for k in range(n)]
     first = narrow.agg(*[F.sum(p[k] * F.col("n_tokens")).alias(f"t{k}") for k in range(n)]).first()
@@ -160,7 +163,8 @@ def fit_rates(
     if not sum(there):
         return [], [0.0] * n, [0.0] * n
     if budget is None:
-        budget = min(t / weights[d] for d, t in zip(domains, there, strict=True) if weights[d] > 0)
+        main = max(range(n), key=lambda k: weights[domains[k]])
+        budget = there[main] / weights[domains[main]]
     targets = [budget * weights[d] for d in domains]
     # Gaps count relative to the tokens there are, documents by their tokens. The matrix of this
     # least-squares problem is row-stochastic, as posteriors sum to 1: a step of 1 never overshoots.
