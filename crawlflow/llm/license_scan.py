@@ -78,7 +78,11 @@ def _weights(counted: DataFrame, idf: DataFrame, key: str) -> DataFrame:
 
 
 def scored_passages(spark: SparkSession, found: DataFrame, least: float) -> DataFrame:
-    """passage, license, score of the distinct passages in `found` (passage, n) that resemble a template."""
+    """pid, license, score of the distinct passages in `found` (pid, passage, n) that resemble a template.
+
+    Terms carry the digest of their passage: a whole licence file may be one passage, and its text
+    beside each of its terms would grow with the square of its length.
+    """
     rows = [
         {"template": f"{name}#{i}", "license": name, "text": text}
         for name, texts in TEMPLATES.items()
@@ -88,7 +92,7 @@ def scored_passages(spark: SparkSession, found: DataFrame, least: float) -> Data
     terms_of = lambda df, key, *more: (
         df.select(key, *more, F.explode(_terms(F.col("text"))).alias("term")).groupBy(key, *more, "term").agg(F.count("*").alias("tf"))
     )
-    of_passages = pinned(terms_of(found.select("passage", "n", F.col("passage").alias("text")), "passage", "n"))
+    of_passages = pinned(terms_of(found.select("pid", "n", F.col("passage").alias("text")), "pid", "n"))
     of_templates = pinned(terms_of(templates, "template"))
     total = (found.agg(F.sum("n")).first()[0] or 0) + len(rows)
     seen = of_passages.select("term", "n").unionByName(of_templates.select("term", F.lit(1).cast("long").alias("n")))
@@ -96,11 +100,11 @@ def scored_passages(spark: SparkSession, found: DataFrame, least: float) -> Data
         seen.groupBy("term").agg((F.log((1 + F.lit(total)) / (1 + F.sum("n"))) + 1).alias("idf"))
     )
     right = _weights(of_templates, idf, "template").select("template", "term", F.col("w").alias("v"))
-    products = _weights(of_passages, idf, "passage").join(F.broadcast(right), "term")
-    cosine = products.groupBy("passage", "template").agg(F.round(F.sum(F.col("w") * F.col("v")), 6).alias("score"))
+    products = _weights(of_passages, idf, "pid").join(F.broadcast(right), "term")
+    cosine = products.groupBy("pid", "template").agg(F.round(F.sum(F.col("w") * F.col("v")), 6).alias("score"))
     named = cosine.withColumn("license", F.substring_index("template", "#", 1)).filter(F.col("score") >= least)
-    best = named.groupBy("passage").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
-    return pinned(best.select("passage", F.col("b.license").alias("license"), (-F.col("b.minus")).alias("score")))
+    best = named.groupBy("pid").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
+    return pinned(best.select("pid", F.col("b.license").alias("license"), (-F.col("b.minus")).alias("score")))
 
 
 def directory(path: Column) -> Column:
@@ -115,9 +119,10 @@ def scan(files: DataFrame, least: float = 0.7) -> DataFrame:
     is_file = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
     passages = pinned(
         files.select("id", "path", is_file.alias("is_file"), F.explode(_passages(text, is_file)).alias("passage"))
+        .withColumn("pid", F.sha2("passage", 256))
     )
-    scored = scored_passages(spark, passages.groupBy("passage").agg(F.count("*").alias("n")), least)
-    hits = passages.join(scored, "passage")
+    found = passages.groupBy("pid").agg(F.min("passage").alias("passage"), F.count("*").alias("n"))
+    hits = passages.drop("passage").join(scored_passages(spark, found, least), "pid")
     own = pinned(
         hits.groupBy(F.col("id").alias("of_id"), F.col("path").alias("of_path"), "is_file")
         .agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))

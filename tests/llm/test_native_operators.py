@@ -216,3 +216,10 @@ def test_empty_tables(empty):
     assert sharding.sharded(empty).count() == 0
     assert line_dedup.dedup_lines(empty).count() == 0
     assert license_scan.scan(empty.selectExpr("doc_id as id", "source as path", "text")).count() == 0
+
+
+def test_scan_of_a_long_licence_file_keeps_its_text_out_of_the_terms(spark):
+    long = "Licensed under the Apache License, Version 2.0\n" + " ".join(f"term{i}" for i in range(30_000))
+    found = spark.createDataFrame([(1, "a/LICENSE", long), (2, "a/b.txt", "plain")], "id long, path string, text string")
+    got = {(r.id, r.license, r.origin) for r in license_scan.scan(found).collect()}
+    assert got == {(1, "Apache-2.0", "own"), (2, "Apache-2.0", "inherited")}
