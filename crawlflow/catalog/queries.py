@@ -401,7 +401,7 @@ def table_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 def range_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Row-key range and two columns, read back from a stored table."""
     store = KeyedStore(spark, _scratch(spark, "range"))
-    store.append(event_cells(spark, sf), "users", 0, epoch_ms(INGEST_TIME))
+    store.append(event_cells(spark, sf), "users", 0, epoch_ms(INGEST_TIME), run="load")
     found = store.latest("users", columns=["click", "view"], families=["c1"], start="1", stop="3")
     return found.select("rowkey", "qualifier", "value")
 
@@ -475,7 +475,7 @@ def website_documents_query(spark: SparkSession, sf: str) -> DataFrame:
     documents = website_documents(
         page_messages(spark, sf), site_dimension(spark, sf), language_dimension(spark, sf)
     )
-    return documents.withColumnRenamed("index", "idx").drop("partition", "offset")
+    return documents.withColumnRenamed("index", "idx").drop("partition", "offset", "topic")
 
 
 def website_index_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -485,9 +485,9 @@ def website_index_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 # Streams --------------------------------------------------------------------------------------------
 def _scratch(spark: SparkSession, name: str) -> str:
-    """New folder: in the cluster's checkpoint folder, or a temporary one where none is set."""
-    unset = spark.conf.get("spark.checkpoint.dir", None) is None
-    root = checkpoint_root(spark, tempfile.gettempdir() if unset else None)
+    """New folder: in the cluster's checkpoint folder, or in local mode a temporary one where none is set."""
+    local = spark.sparkContext.master.startswith("local[")
+    root = checkpoint_root(spark, tempfile.gettempdir() if local else None)
     return f"{root}/crawlflow-{name}-{uuid.uuid4().hex}"
 
 
@@ -504,8 +504,9 @@ def _streamed(spark: SparkSession, sf: str, replay: bool) -> DataFrame:
     query.awaitTermination()
     if replay:
         # The same messages again under the batch id they had: nothing may change.
-        run_batch(WEBPAGE_HOME, messages, store, INGEST_TIME + timedelta(hours=1), 0, ZONE)
-        run_batch(WEBPAGE_HOME, messages, store, INGEST_TIME, 0, ZONE)
+        again = {"run": query.id, "replay": True}
+        run_batch(WEBPAGE_HOME, messages, store, INGEST_TIME + timedelta(hours=1), 0, ZONE, **again)
+        run_batch(WEBPAGE_HOME, messages, store, INGEST_TIME, 0, ZONE, **again)
     cells = store.cells("webpage").unionByName(store.cells("homepage"))
     return latest_cells(cells).select(F.col("table").alias("target"), "rowkey", "family", "qualifier", "value")
 

@@ -10,7 +10,7 @@ from crawlflow.fixed_values import WECHAT_URL
 
 def whole_number(text: Column) -> Column:
     """Int of a plain decimal text, null for anything else (blanks and '5.0' included)."""
-    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("int"))
+    return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("int"))
 
 
 def site_group(site: Column, url: Column, default: str) -> Column:

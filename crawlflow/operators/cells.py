@@ -17,7 +17,7 @@ from crawlflow.functions.texts import blank_to_empty
 CELL_COLUMNS = ("table", "rowkey", "family", "qualifier", "value")
 CELL_KEY = ("table", "rowkey", "family", "qualifier")
 ROW_KEY = ("table", "rowkey")
-ORDER_COLUMNS = ("put_ms", "batch_id", "src_partition", "src_offset")
+ORDER_COLUMNS = ("put_ms", "batch_id", "src_partition", "src_offset", "src_topic", "writer", "run")
 
 
 def explode_fields(df: DataFrame, fields: str = "fields", drop: Iterable[str] = ()) -> DataFrame:
@@ -53,7 +53,7 @@ def family_of(qualifier: Column, split: bool = True) -> Column:
 
 
 def order_of(df: DataFrame) -> Column:
-    """Write order of cells: by time of the write, then by position in the source."""
+    """Write order of cells: by time of the write, position and topic in the source, then writer and run."""
     return F.struct(*[F.col(c) for c in ORDER_COLUMNS if c in df.columns])
 
 
@@ -70,7 +70,7 @@ def latest_cells(cells: DataFrame, order: Column | None = None) -> DataFrame:
 
 
 def rows_of(latest: DataFrame) -> DataFrame:
-    """Rows of latest cells: one map per column family.
+    """Rows of latest cells: the maps `c1` and `c2`, and `other_families` with a map per other family.
 
     The input holds one row per cell, so a row collects as many entries as it
     has columns.
@@ -81,7 +81,16 @@ def rows_of(latest: DataFrame) -> DataFrame:
         entry = F.when(F.col("family") == name, F.struct("qualifier", "value"))
         return F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(name)
 
-    return latest.groupBy(*keys).agg(family("c1"), family("c2"))
+    other = F.when(~F.col("family").isin("c1", "c2"), F.struct("family", "qualifier", "value"))
+    rows = latest.groupBy(*keys).agg(family("c1"), family("c2"), F.sort_array(F.collect_list(other)).alias("_other"))
+
+    def cells_in(name: Column) -> Column:
+        mine = F.filter("_other", lambda cell: cell["family"] == name)
+        return F.map_from_entries(F.transform(mine, lambda cell: F.struct(cell["qualifier"], cell["value"])))
+
+    names = F.array_distinct(F.transform("_other", lambda cell: cell["family"]))
+    others = F.map_from_entries(F.transform(names, lambda name: F.struct(name, cells_in(name))))
+    return rows.withColumn("other_families", others).drop("_other")
 
 
 def rows_with_columns(

@@ -103,10 +103,10 @@ URL_HASH = field_key("urlhash")
 
 
 # Jobs -----------------------------------------------------------------------------
-FORUM = IngestSpec("forum", ("forum",), "forum", URL_HASH, rate=30, interval=60)
+FORUM = IngestSpec("forum", ("forum",), "forum", URL_HASH, start="latest", rate=30, interval=60)
 
 HOMEPAGE_HCT = IngestSpec(
-    "homepage_hct", ("hct_homepage",), "homepage_hct", URL_HASH, rate=30, interval=60
+    "homepage_hct", ("hct_homepage",), "homepage_hct", URL_HASH, start="latest", rate=30, interval=60
 )
 
 METASEARCH = IngestSpec(
@@ -129,13 +129,14 @@ NEWSPAPER = IngestSpec(
     fields=fixed.PAPER_FIELDS,
     derived=(Derived("group_id", group_of_site("5")),),
     snapshot="apart",
+    start="latest",
     rate=30,
     interval=60,
 )
 
-REPLIES = ReplySpec("replies", ("replies",), "replies", rate=30, interval=62)
+REPLIES = ReplySpec("replies", ("replies",), "replies", start="latest", rate=30, interval=62)
 
-REPLIES_PLAIN = IngestSpec("replies_plain", ("replies",), "replies", URL_HASH, rate=30, interval=62)
+REPLIES_PLAIN = IngestSpec("replies_plain", ("replies",), "replies", URL_HASH, start="latest", rate=30, interval=62)
 
 WEBPAGE_HOME = IngestSpec(
     "webpage_home",
@@ -157,6 +158,7 @@ WEBPAGE = IngestSpec(
     fields=fixed.WEBPAGE_FIELDS,
     derived=(Derived("group_id", group_of_site("1")), *DOMAINS),
     required=("url",),
+    start="latest",
     rate=30,
     interval=60,
 )
@@ -179,6 +181,7 @@ WEIBOUSER = IngestSpec(
     "weibouser",
     field_key("id"),
     fields=fixed.WEIBOUSER_FIELDS,
+    start="latest",
     rate=30,
     interval=57,
 )
@@ -217,6 +220,7 @@ YIXING_HCT_MIX = IngestSpec(
     URL_HASH,
     fields=fixed.YIXING_FIELDS,
     pad_if=lambda r: F.coalesce(r.get("group_id"), F.lit("")) != "0",
+    start="latest",
     rate=20,
     interval=66,
 )
@@ -229,6 +233,7 @@ ZHIMEI_MIX = IngestSpec(
     fields=fixed.PAPER_FIELDS,
     derived=(GROUP_IF_MISSING,),
     snapshot="apart",
+    start="latest",
     rate=20,
     interval=68,
 )
@@ -242,6 +247,7 @@ OLD_FORUM = IngestSpec(
     key_time=dashed_or_now(),
     fields=fixed.FORUM_FIELDS,
     reject_nulls=True,
+    max_message_bytes=20 * 1024 * 1024,
     rate=150,
     interval=6,
 )

@@ -23,12 +23,15 @@ from crawlflow.sources.keyed_store import KeyedStore, epoch_ms
 SOURCE_COLUMNS = (*REKEY_FIELDS, "publishdate", "publishtime", SNAPSHOT)
 
 
-def rekeyed_rows(rows: DataFrame, default_group: str = "5", zone: str | None = None) -> DataFrame:
+def rekeyed_rows(
+    rows: DataFrame, default_group: str = "5", zone: str | None = None, source_key: str | None = None
+) -> DataFrame:
     """Rows with their new key and columns.
 
     `rows` has one column per source column, null where nothing is stored. Rows
     without a URL or a publish time are left out, other missing columns become
-    ''. A gather time that cannot be read gives time '0' in the key.
+    ''. A gather time that cannot be read gives time '0' in the key. `source_key` names the column
+    kept as `src_topic`, which orders rows that get the same new key.
     """
     kept = rows.withColumns(
         {
@@ -47,19 +50,22 @@ def rekeyed_rows(rows: DataFrame, default_group: str = "5", zone: str | None = N
         F.coalesce(SNAPSHOT, F.lit("")).alias(SNAPSHOT),
         F.lit("").alias("author"),
         F.lit("").alias("sim_id"),
+        *([F.col(source_key).alias("src_topic")] if source_key else []),
     )
 
 
 def cells_of_rows(rows: DataFrame, table: str) -> DataFrame:
     """Cells of rows with a `rowkey` and one column per field."""
-    names = [c for c in rows.columns if c != "rowkey"]
+    names = [c for c in rows.columns if c not in ("rowkey", "src_topic")]
+    position = [c for c in rows.columns if c == "src_topic"]
     fields = rows.select(
         F.lit(table).alias("table"),
         "rowkey",
+        *position,
         text_map({name: F.col(name) for name in names}).alias("fields"),
     )
     return explode_fields(fields).select(
-        "table", "rowkey", family_of(F.col("qualifier")).alias("family"), "qualifier", "value"
+        "table", "rowkey", *position, family_of(F.col("qualifier")).alias("family"), "qualifier", "value"
     )
 
 
@@ -71,13 +77,21 @@ def rekey_table(
     out_table: str = "paper",
     max_records_per_file: int | None = None,
     zone: str | None = None,
+    *,
+    run: str,
+    replay: bool = False,
 ) -> None:
-    """Re-key a whole table in one job."""
+    """Re-key a whole table in one job, as the run `run` of the target.
+
+    Of source rows that get the same new key, the one with the largest source key wins.
+    """
     rows = source.columns(in_table, SOURCE_COLUMNS)
     target.append(
-        cells_of_rows(rekeyed_rows(rows, zone=zone), out_table),
-        writer=f"rekey-{in_table}",
+        cells_of_rows(rekeyed_rows(rows, zone=zone, source_key="rowkey"), out_table),
+        writer=f"rekey-{in_table}-{out_table}",
         batch_id=0,
         put_ms=epoch_ms(put_time),
+        run=run,
+        replay=replay,
         max_records_per_file=max_records_per_file,
     )

@@ -131,6 +131,8 @@ class IngestSpec:
     optional: tuple[str, ...] = ()
     rate: int | None = None
     interval: int | None = None
+    start: str = "earliest"
+    max_message_bytes: int = 10485760
 
     def with_options(self, **changes) -> IngestSpec:
         """Same job with other settings, such as rate, interval, table or key_time."""
@@ -166,6 +168,7 @@ class IngestSpec:
             F.when(good, stored).otherwise(_dead_fields()).alias("fields"),
             F.col("partition").alias("src_partition"),
             F.col("offset").alias("src_offset"),
+            F.col("topic").alias("src_topic"),
         )
         return self._finish(explode_fields(held(out), drop=self.repairs))
 
@@ -228,6 +231,7 @@ class IngestSpec:
             .alias("value"),
             "src_partition",
             "src_offset",
+            "src_topic",
         )
 
 
@@ -244,6 +248,8 @@ class ReplySpec:
     floor_in_key: bool = True
     rate: int | None = None
     interval: int | None = None
+    start: str = "earliest"
+    max_message_bytes: int = 10485760
 
     def with_options(self, **changes) -> ReplySpec:
         return replace(self, **changes)
@@ -301,6 +307,7 @@ class ReplySpec:
             F.when(good, text_map(stored)).otherwise(_dead_fields()).alias("fields"),
             F.col("partition").alias("src_partition"),
             F.col("offset").alias("src_offset"),
+            F.col("topic").alias("src_topic"),
         )
         return explode_fields(out).select(
             "table",
@@ -310,6 +317,7 @@ class ReplySpec:
             "value",
             "src_partition",
             "src_offset",
+            "src_topic",
         )
 
 

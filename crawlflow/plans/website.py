@@ -35,7 +35,7 @@ DOCUMENT_FIELDS = (
 )
 
 
-POSITION = ("partition", "offset")
+POSITION = ("partition", "offset", "topic")
 _SENT_FIELDS = (
     *WEBSITE_TEXT_FIELDS,
     "site_name",
@@ -102,6 +102,7 @@ def document_cells(documents: DataFrame) -> DataFrame:
         fields.alias("fields"),
         F.col("partition").alias("src_partition"),
         F.col("offset").alias("src_offset"),
+        F.col("topic").alias("src_topic"),
     )
     return explode_fields(kept).select(
         "table",
@@ -111,6 +112,7 @@ def document_cells(documents: DataFrame) -> DataFrame:
         "value",
         "src_partition",
         "src_offset",
+        "src_topic",
     )
 
 

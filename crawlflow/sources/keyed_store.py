@@ -1,10 +1,12 @@
 """Keyed tables on plain parquet: appended cells, merged when read.
 
-Layout: `<root>/log/writer=<w>/batch_id=<n>/table=<t>/family=<f>/*.parquet` for
-written batches and `<root>/base/writer=<t>/...` for a compacted table.
+Layout: `<root>/log/writer=<w>/run=<r>/batch_id=<n>/table=<t>/family=<f>/*.parquet`
+for written batches and `<root>/base/writer=<t>/...` for a compacted table.
 
 * A batch is written by one job, without a shuffle, for all tables at once.
-* Writing a batch again replaces its folder, so a replayed batch changes nothing.
+* A run names a stream's checkpoint or one back-fill, so runs never share folders.
+  A batch whose folder is taken is refused; as a replay it replaces that folder,
+  so a replayed batch changes nothing.
 * Column families lie in separate folders, so a read of the fields never touches
   the page snapshots, and row-key ranges and columns are pushed to parquet.
 """
@@ -17,16 +19,16 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlflow.operators.cells import CELL_KEY, latest_cells, rows_of, rows_with_columns
+from crawlflow.operators.cells import CELL_KEY, latest_cells, order_of, rows_of, rows_with_columns
 
 DEAD_LETTERS = "_dead_letter"
 _FILE_SCHEMA = (
     "rowkey string, qualifier string, value string, put_ms long, "
-    "src_partition int, src_offset long, "
-    "writer string, batch_id long, table string, family string"
+    "src_partition int, src_offset long, src_topic string, "
+    "writer string, run string, batch_id long, table string, family string"
 )
 
 
@@ -39,6 +41,12 @@ def folder_name(table: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in table)
 
 
+def _stored_key(writer: str, run: str, batch_id: int) -> Column:
+    """Row key as stored: a dead letter's position is its own only within its batch."""
+    dead = F.concat_ws("/", F.lit(writer), F.lit(run), F.lit(str(batch_id)), "rowkey")
+    return F.when(F.col("table") == DEAD_LETTERS, dead).otherwise(F.col("rowkey"))
+
+
 def epoch_ms(instant: datetime) -> int:
     if instant.tzinfo is None:
         instant = instant.replace(tzinfo=timezone.utc)
@@ -58,20 +66,27 @@ class KeyedStore:
         writer: str,
         batch_id: int,
         put_ms: int,
+        *,
+        run: str,
+        replay: bool = False,
         max_records_per_file: int | None = None,
         even_files: bool = False,
     ) -> None:
-        """Write the cells of one batch; a repeated batch replaces the first one.
+        """Write the cells of one batch of a run.
 
+        A batch that was written before is refused, unless it is a `replay`: then
+        it replaces the first one. Streams always replay, as the checkpoint tells
+        their batches apart; a back-fill that failed half way is run again as one.
+        Dead letters get the writer, run and batch in their row key.
         `even_files` adds one shuffle that gathers the small files of a small
         batch and splits large ones, whatever the skew between tables.
         """
-        positions = {"src_partition": "int", "src_offset": "long"}
+        positions = {"src_partition": "int", "src_offset": "long", "src_topic": "string"}
         for name, kind in positions.items():
             if name not in cells.columns:
-                cells = cells.withColumn(name, F.lit(0).cast(kind))
+                cells = cells.withColumn(name, F.lit("" if kind == "string" else 0).cast(kind))
         out = cells.select(
-            "rowkey",
+            _stored_key(writer, run, batch_id).alias("rowkey"),
             "qualifier",
             "value",
             F.lit(put_ms).cast("long").alias("put_ms"),
@@ -81,10 +96,10 @@ class KeyedStore:
         )
         if even_files:
             out = out.hint("rebalance", "table", "family")
-        write = out.write.mode("overwrite").partitionBy("table", "family")
+        write = out.write.mode("overwrite" if replay else "errorifexists").partitionBy("table", "family")
         if max_records_per_file:
             write = write.option("maxRecordsPerFile", max_records_per_file)
-        write.parquet(f"{self.root}/log/writer={writer}/batch_id={batch_id}")
+        write.parquet(f"{self.root}/log/writer={folder_name(writer)}/run={folder_name(run)}/batch_id={batch_id}")
 
     def cells(
         self,
@@ -108,13 +123,13 @@ class KeyedStore:
         return [p for p in ("base", "log") if self._readable(p, table)] or ["log"]
 
     def _read(self, part: str, table: str, family: str = "*") -> DataFrame:
-        pattern = f"{self.root}/{part}/writer=*/batch_id=*/table={folder_name(table)}/family={family}"
+        pattern = f"{self.root}/{part}/writer=*/run=*/batch_id=*/table={folder_name(table)}/family={family}"
         reader = self.spark.read.schema(_FILE_SCHEMA).option("basePath", f"{self.root}/{part}")
         return reader.parquet(pattern)
 
-    def _readable(self, part: str, table: str) -> bool:
+    def _readable(self, part: str, table: str, family: str = "*") -> bool:
         try:
-            self._read(part, table)
+            self._read(part, table, family)
         except AnalysisException:
             return False
         return True
@@ -129,7 +144,10 @@ class KeyedStore:
         stop: str | None = None,
     ) -> DataFrame:
         family = "{" + ",".join(families) + "}" if families else "*"
-        found = self._read(part, table, family)
+        if family == "*" or self._readable(part, table, family):
+            found = self._read(part, table, family)
+        else:  # none of the families is there
+            found = self._read(part, table).where(F.lit(False))
         if columns is not None:
             found = found.where(F.col("qualifier").isin(list(columns)))
         if start is not None:
@@ -163,7 +181,7 @@ class KeyedStore:
         return untouched.unionByName(latest_cells(added.unionByName(met)))
 
     def rows(self, table: str, **scan) -> DataFrame:
-        """Current rows: one map per column family."""
+        """Current rows: the maps `c1` and `c2`, and a map of maps with all other families."""
         return rows_of(self.latest(table, **scan))
 
     def columns(self, table: str, names: Iterable[str], **scan) -> DataFrame:
@@ -179,10 +197,9 @@ class KeyedStore:
         range shuffle, and a very wide row may span files, so neither a key with
         many writes nor one with many columns fills one task.
         """
-        merged = self.cells(table).groupBy("table", "rowkey", "family", "qualifier").agg(
-            F.max_by("value", F.struct("put_ms", "batch_id", "src_partition", "src_offset")).alias(
-                "value"
-            ),
+        stored = self.cells(table)
+        merged = stored.withColumn("order", order_of(stored)).groupBy("table", "rowkey", "family", "qualifier").agg(
+            F.max_by("value", "order").alias("value"),
             F.max("put_ms").alias("last_put_ms"),
         )
         by = [F.col("rowkey"), F.col("qualifier")]
@@ -196,9 +213,10 @@ class KeyedStore:
             F.col("last_put_ms").alias("put_ms"),
             F.lit(0).cast("int").alias("src_partition"),
             F.lit(0).cast("long").alias("src_offset"),
+            F.lit("").alias("src_topic"),
             "table",
             "family",
         )
         out.write.mode("overwrite").partitionBy("table", "family").parquet(
-            f"{target.root}/base/writer={folder_name(table)}/batch_id=0"
+            f"{target.root}/base/writer={folder_name(table)}/run=compacted/batch_id=0"
         )

@@ -1,8 +1,8 @@
 """Run an ingest job over a batch or a stream of messages.
 
 Both ways call the same plan. A stream hands each micro-batch to the store under
-its batch id; the checkpoint records the batch only after the write, and a batch
-that runs again replaces its own folder.
+the id that its checkpoint holds and the batch id; the checkpoint records the batch
+only after the write, and a batch that runs again replaces its own folder.
 """
 
 from __future__ import annotations
@@ -20,15 +20,19 @@ from crawlflow.sources.keyed_store import KeyedStore, epoch_ms
 from crawlflow.sources.messages import KafkaTopics
 
 
-def topics_of(spec: Spec, servers: str, prefix: str = "", partitions: int = 1, **options) -> KafkaTopics:
-    """Kafka subscription of a job, with its rate limit."""
+def topics_of(spec: Spec, servers: str, prefix: str = "", *, partitions: int, **options) -> KafkaTopics:
+    """Kafka subscription of a job, with its start, message size and rate limit.
+
+    `partitions` is the number of partitions of all its topics: the rate is one partition's.
+    """
+    own = {"earliest": spec.start == "earliest", "max_message_bytes": spec.max_message_bytes}
     return KafkaTopics(
         servers,
         topic_names(spec, prefix),
         rate_per_partition=spec.rate,
         interval_seconds=spec.interval,
         partitions=partitions,
-        **options,
+        **{**own, **options},
     )
 
 
@@ -41,13 +45,21 @@ def run_batch(
     zone: str | None = None,
     max_records_per_file: int | None = None,
     even_files: bool = False,
+    *,
+    run: str,
+    replay: bool = False,
 ) -> None:
-    """Ingest a whole DataFrame of messages as one batch."""
+    """Ingest a whole DataFrame of messages as one batch of the back-fill `run`.
+
+    A batch id that the run has written is refused, unless this is a `replay` of it.
+    """
     store.append(
         spec.cells(messages, ingest_time, zone),
         writer=spec.name,
         batch_id=batch_id,
         put_ms=epoch_ms(ingest_time),
+        run=run,
+        replay=replay,
         max_records_per_file=max_records_per_file,
         even_files=even_files,
     )
@@ -60,9 +72,11 @@ def batch_writer(
     now: Callable[[], datetime] | None = None,
     even_files: bool = False,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    max_records_per_file: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Function for `foreachBatch`: ingest one micro-batch, nothing for an empty one.
 
+    The run is the stream's id, which its checkpoint keeps over restarts.
     `prepare` turns the rows of the source into messages, such as `from_lines`.
     """
     clock = now or (lambda: datetime.now(timezone.utc))
@@ -70,7 +84,10 @@ def batch_writer(
     def write(messages: DataFrame, batch_id: int) -> None:
         if not messages.isEmpty():
             batch = prepare(messages) if prepare else messages
-            run_batch(spec, batch, store, clock(), batch_id, zone, even_files=even_files)
+            run = messages.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            run_batch(
+                spec, batch, store, clock(), batch_id, zone, max_records_per_file, even_files, run=run, replay=True
+            )
 
     return write
 
@@ -83,8 +100,9 @@ def run_stream(
     available_now: bool = False,
     zone: str | None = None,
     now: Callable[[], datetime] | None = None,
-    even_files: bool = False,
+    even_files: bool = True,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    max_records_per_file: int | None = None,
 ) -> StreamingQuery:
     """Start the job on a stream, every `spec.interval` seconds or once over all there is.
 
@@ -95,7 +113,7 @@ def run_stream(
     writer = (
         messages.writeStream.queryName(spec.name)
         .option("checkpointLocation", location)
-        .foreachBatch(batch_writer(spec, store, zone, now, even_files, prepare))
+        .foreachBatch(batch_writer(spec, store, zone, now, even_files, prepare, max_records_per_file))
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -119,7 +137,8 @@ def run_rows(
     """
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        write(transform(df))
+        if not df.isEmpty():
+            write(transform(df))
 
     writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
     if available_now:

@@ -28,7 +28,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--rate", type=int, help="messages per partition and second")
     parser.add_argument("--interval", type=int, help="seconds between batches")
     parser.add_argument("--table", help="target table instead of the job's own")
-    parser.add_argument("--partitions", type=int, default=1, help="partitions of the topics")
+    parser.add_argument("--partitions", type=int, required=True, help="partitions of all the job's topics together")
+    parser.add_argument("--records-per-file", type=int, help="most cells of a stored file")
     parser.add_argument("--checkpoint")
     parser.add_argument("--zone", help="time zone of the time texts")
     return parser.parse_args(argv)
@@ -44,9 +45,11 @@ def main() -> None:
     args = arguments()
     spec = spec_of(args)
     spark = configure(SparkSession.builder.appName(spec.name).getOrCreate())
-    messages = topics_of(spec, args.servers, args.topic_prefix, args.partitions).read_stream(spark)
+    messages = topics_of(spec, args.servers, args.topic_prefix, partitions=args.partitions).read_stream(spark)
     store = KeyedStore(spark, args.store)
-    run_stream(spec, messages, store, args.checkpoint, zone=args.zone).awaitTermination()
+    run_stream(
+        spec, messages, store, args.checkpoint, zone=args.zone, max_records_per_file=args.records_per_file
+    ).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -83,9 +83,9 @@ def test_rows_and_columns(spark):
 
 def test_put_keeps_the_other_cells(spark, tmp_path):
     store = KeyedStore(spark, str(tmp_path / "s"))
-    run_batch(jobs.FORUM, messages(spark, [{"urlhash": "1", "a": "x", "b": "y"}]), store, NOW, 0)
+    run_batch(jobs.FORUM, messages(spark, [{"urlhash": "1", "a": "x", "b": "y"}]), store, NOW, 0, run="r")
     later = NOW + timedelta(seconds=1)
-    run_batch(jobs.FORUM, messages(spark, [{"urlhash": "1", "b": "z"}]), store, later, 1)
+    run_batch(jobs.FORUM, messages(spark, [{"urlhash": "1", "b": "z"}]), store, later, 1, run="r")
     assert values(store.latest("forum")) == {
         ("1", "c1", "urlhash"): "1",
         ("1", "c1", "a"): "x",
@@ -96,9 +96,11 @@ def test_put_keeps_the_other_cells(spark, tmp_path):
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     store = KeyedStore(spark, str(tmp_path / "s"))
     batch = messages(spark, [{"urlhash": "1", "a": "x"}, "bad"])
-    run_batch(jobs.FORUM, batch, store, NOW, 0)
+    run_batch(jobs.FORUM, batch, store, NOW, 0, run="r")
     before = store.cells("forum").count()
-    run_batch(jobs.FORUM, batch, store, NOW, 0)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        run_batch(jobs.FORUM, batch, store, NOW, 0, run="r")
+    run_batch(jobs.FORUM, batch, store, NOW, 0, run="r", replay=True)
     assert store.cells("forum").count() == before
     assert store.cells(DEAD_LETTERS).count() == 4
 
@@ -106,8 +108,8 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
 def test_one_job_writes_all_tables_and_families(spark, tmp_path):
     store = KeyedStore(spark, str(tmp_path / "s"))
     texts = [{"urlhash": str(i), "group_id": g, "snapshot": "s"} for i, g in enumerate(["3", "5", "14", "9"])]
-    run_batch(jobs.ZHIMEI_MIX, messages(spark, texts), store, NOW, 0, max_records_per_file=5, even_files=True)
-    folder = tmp_path / "s" / "log" / "writer=zhimei_mix" / "batch_id=0"
+    run_batch(jobs.ZHIMEI_MIX, messages(spark, texts), store, NOW, 0, max_records_per_file=5, even_files=True, run="r")
+    folder = tmp_path / "s" / "log" / "writer=zhimei_mix" / "run=r" / "batch_id=0"
     assert {p.name for p in folder.iterdir() if p.is_dir()} == {
         "table=blog", "table=paper", "table=ask-answer", f"table={DEAD_LETTERS}",
     }
@@ -120,7 +122,7 @@ def test_one_job_writes_all_tables_and_families(spark, tmp_path):
 def test_scan_reads_only_what_is_asked(spark, tmp_path):
     store = KeyedStore(spark, str(tmp_path / "s"))
     texts = [{"urlhash": str(i), "title": f"t{i}", "snapshot": "s" * 50} for i in range(20)]
-    run_batch(jobs.NEWSPAPER, messages(spark, texts), store, NOW, 0)
+    run_batch(jobs.NEWSPAPER, messages(spark, texts), store, NOW, 0, run="r")
     found = store.cells("paper", columns=["title"], families=["c1"], start="1", stop="2")
     assert {r.rowkey for r in found.collect()} == {"1", *[str(i) for i in range(10, 20)]}
     plan = found._jdf.queryExecution().executedPlan().toString()
@@ -135,15 +137,15 @@ def test_compacted_table_and_later_writes(spark, tmp_path):
     old = random_cells(rng, 600, 40)
     new = random_cells(rng, 60, 60)
     store, target = KeyedStore(spark, str(tmp_path / "a")), KeyedStore(spark, str(tmp_path / "b"))
-    store.append(spark.createDataFrame(old[:300], CELL_SCHEMA), "w", 0, 1000)
-    store.append(spark.createDataFrame(old[300:], CELL_SCHEMA), "w", 1, 2000)
+    store.append(spark.createDataFrame(old[:300], CELL_SCHEMA), "w", 0, 1000, run="r")
+    store.append(spark.createDataFrame(old[300:], CELL_SCHEMA), "w", 1, 2000, run="r")
     store.compact(target, "t", partitions=4)
     assert values(target.latest("t")) == brute_latest(old) == values(store.latest("t"))
     assert target.cells("t").count() == len(brute_latest(old))
     assert "Exchange" not in target.latest("t")._jdf.queryExecution().executedPlan().toString()
-    target.append(spark.createDataFrame(new, CELL_SCHEMA), "w", 2, 3000)
+    target.append(spark.createDataFrame(new, CELL_SCHEMA), "w", 2, 3000, run="r")
     # A late write that is older than the compacted cells must lose.
-    target.append(spark.createDataFrame(old[:50], CELL_SCHEMA), "late", 0, 500)
+    target.append(spark.createDataFrame(old[:50], CELL_SCHEMA), "late", 0, 500, run="r")
     assert values(target.latest("t")) == brute_latest(old) | brute_latest(new)
     plan = target.latest("t")._jdf.queryExecution().executedPlan().toString()
     # Few new keys: the compacted cells pass by a broadcast and are not shuffled.
@@ -159,7 +161,7 @@ def test_compacted_table_and_later_writes(spark, tmp_path):
 def test_compaction_sorts_files_by_key_range(spark, tmp_path):
     store, target = KeyedStore(spark, str(tmp_path / "a")), KeyedStore(spark, str(tmp_path / "b"))
     cells = [("t", f"{i:04d}", "c1", "a", "v", 0, i) for i in range(400)]
-    store.append(spark.createDataFrame(cells, CELL_SCHEMA), "w", 0, 1)
+    store.append(spark.createDataFrame(cells, CELL_SCHEMA), "w", 0, 1, run="r")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         store.compact(target, "t", partitions=4)
@@ -179,8 +181,8 @@ def test_compaction_sorts_files_by_key_range(spark, tmp_path):
 def test_rekey_table(spark, tmp_path):
     source, target = KeyedStore(spark, str(tmp_path / "a")), KeyedStore(spark, str(tmp_path / "b"))
     sent = {"urlhash": "9", "url": "abc", "gathertime": "2016-11-24 11:57:02", "publishdate": "d", "title": "T", "snapshot": "s"}
-    run_batch(jobs.FIRST_RECEIVER.with_options(key_time=None), messages(spark, [sent]), source, NOW, 0)
-    rekey_table(source, target, NOW, zone="UTC", max_records_per_file=2000)
+    run_batch(jobs.FIRST_RECEIVER.with_options(key_time=None), messages(spark, [sent]), source, NOW, 0, run="r")
+    rekey_table(source, target, NOW, zone="UTC", max_records_per_file=2000, run="r")
     row = target.rows("paper").first()
     assert row.rowkey == "4952883123889572249_1479988622000"
     assert row.c1["publishtime"] == "d" and row.c1["title"] == "T" and row.c2 == {"snapshot": "s"}
@@ -210,11 +212,13 @@ def test_stream_equals_batch(spark, tmp_path):
     # More messages arrive; the restarted stream goes on from its checkpoint.
     write_files(sent.where("offset >= 30 and offset < 60"), tmp_path / "in", 2)
     run()
-    batches = [p.name for p in (tmp_path / "a" / "log" / "writer=webpage_home").iterdir() if p.is_dir()]
+    [stream_run] = [p for p in (tmp_path / "a" / "log" / "writer=webpage_home").iterdir() if p.is_dir()]
+    batches = [p.name for p in stream_run.iterdir() if p.is_dir()]
     assert sorted(batches) == [f"batch_id={i}" for i in range(5)]
     run()  # nothing new
-    assert len([p for p in (tmp_path / "a" / "log" / "writer=webpage_home").iterdir() if p.is_dir()]) == 5
-    run_batch(jobs.WEBPAGE_HOME, read_message_files(spark, str(tmp_path / "in")), batch_store, NOW, 0, "UTC")
+    assert len([p for p in (tmp_path / "a" / "log" / "writer=webpage_home").iterdir() if p.is_dir()]) == 1
+    assert len([p for p in stream_run.iterdir() if p.is_dir()]) == 5
+    run_batch(jobs.WEBPAGE_HOME, read_message_files(spark, str(tmp_path / "in")), batch_store, NOW, 0, "UTC", run="r")
     for table in ("webpage", "homepage"):
         assert values(stream_store.latest(table)) == values(batch_store.latest(table))
     assert stream_store.columns(DEAD_LETTERS, ["record"]).first().record == "bad"
@@ -228,7 +232,7 @@ def test_failed_batch_is_written_again(spark, tmp_path):
     written = []
 
     def fail_after_write(batch, batch_id):
-        run_batch(jobs.FORUM, batch, store, NOW, batch_id)
+        run_batch(jobs.FORUM, batch, store, NOW, batch_id, run="r", replay=True)
         written.append(batch_id)
         if len(written) == 1:
             raise RuntimeError("lost before the commit")
@@ -378,3 +382,63 @@ def test_checkpoint_root_comes_from_the_session():
 
 def test_epoch_ms():
     assert epoch_ms(NOW) == epoch_ms(NOW.replace(tzinfo=None)) == 1706776215000
+
+
+def test_runs_of_one_job_and_tables_of_one_rekey_keep_each_other(spark, tmp_path):
+    store = KeyedStore(spark, str(tmp_path / "s"))
+    run_batch(jobs.FORUM, messages(spark, [{"urlhash": "1", "a": "x"}, "bad"]), store, NOW, run="march")
+    write_files(messages(spark, [{"urlhash": "2", "a": "y"}, "worse"]), tmp_path / "in", 1)
+    source = stream_message_files(spark, str(tmp_path / "in"))
+    for part in (1, 2):  # a stream, and another one with a checkpoint of its own
+        run_stream(jobs.FORUM, source, store, str(tmp_path / f"ck{part}"), available_now=True).awaitTermination()
+    run_batch(jobs.FORUM, messages(spark, [{"urlhash": "3", "a": "z"}]), store, NOW, run="april")
+    other = jobs.FORUM.with_options(table="forum2")
+    run_batch(other, messages(spark, [{"urlhash": "4", "a": "z"}]), store, NOW, run="may")
+    assert {r.rowkey for r in store.columns("forum", ["a"]).collect()} == {"1", "2", "3"}
+    assert {r.rowkey for r in store.columns("forum2", ["a"]).collect()} == {"4"}
+    dead = store.columns(DEAD_LETTERS, ["record"]).collect()
+    assert sorted(r.record for r in dead) == ["bad", "worse", "worse"]
+    runs = {r.run for r in store.cells("forum").select("run").distinct().collect()}
+    assert len(runs) == 4 and {"march", "april"} < runs
+
+
+def test_rekeys_into_two_tables_and_rows_with_the_same_new_key(spark, tmp_path):
+    source, target = KeyedStore(spark, str(tmp_path / "a")), KeyedStore(spark, str(tmp_path / "b"))
+    same = {"url": "http://a.b.cn/1", "gathertime": "2024-01-01 00:00:00", "publishtime": "t"}
+    cells = [("newspaper", key, "c1", k, v, 0, 0) for key in "12" for k, v in {**same, "title": key}.items()]
+    source.append(spark.createDataFrame(cells, CELL_SCHEMA), "w", 0, 1, run="r")
+    for table in ("paper", "paper1"):
+        rekey_table(source, target, NOW, out_table=table, zone="UTC", run="once")
+    titles = [r.title for t in ("paper", "paper1") for r in target.columns(t, ["title"]).collect()]
+    assert titles == ["2", "2"]
+
+
+def test_ties_between_topics_do_not_follow_the_order_of_rows(spark, tmp_path):
+    schema = "key string, value string, topic string, partition int, offset long, timestamp timestamp"
+    topics = sorted(jobs.YIXING_HCT_MIX.topics)
+    rows = [(None, json.dumps({"urlhash": "1", "group_id": "5", "title": t}), t, 0, 0, None) for t in topics]
+    titles = set()
+    for name, sent in (("a", rows), ("b", rows[::-1])):
+        store = KeyedStore(spark, str(tmp_path / name))
+        run_batch(jobs.YIXING_HCT_MIX, spark.createDataFrame(sent, schema).coalesce(1), store, NOW, run="r")
+        [table] = [p.name.removeprefix("table=") for p in (tmp_path / name / "log").glob("*/*/*/table=*")]
+        titles |= {r.title for r in store.columns(table, ["title"]).collect()}
+    assert titles == {topics[-1]}
+
+
+def test_families_that_are_absent_or_unusual(spark, tmp_path):
+    store = KeyedStore(spark, str(tmp_path / "s"))
+    store.append(spark.createDataFrame([("t", "1", "cf", "q", "v", 0, 0)], CELL_SCHEMA), "w", 0, 1, run="r")
+    assert store.latest("t", families=["c1"]).count() == 0
+    row = store.rows("t").first()
+    assert (row.c1, row.c2, row.other_families) == ({}, {}, {"cf": {"q": "v"}})
+
+
+def test_start_and_message_size_of_each_job():
+    # The jobs that start at the newest message.
+    latest = "forum homepage_hct newspaper replies replies_plain webpage weibouser yixing_hct_mix zhimei_mix"
+    assert {n for n, j in jobs.JOBS.items() if j.start == "latest"} >= set(latest.split())
+    for job in jobs.JOBS.values():
+        options = topics_of(job, "a:1", partitions=1).options()
+        assert options["startingOffsets"] == job.start
+        assert options["kafka.max.partition.fetch.bytes"] == str((20 if job is jobs.OLD_FORUM else 10) * 1024 * 1024)
