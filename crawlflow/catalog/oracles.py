@@ -647,6 +647,8 @@ def oracle_sql() -> dict[str, str]:
           replycontent AS "replycontent" FROM parts)
         SELECT 'test' AS target, rowkey, 'c1' AS family, qualifier, value FROM
         (FROM r UNPIVOT (value FOR qualifier IN ("url", "floorid", "urlhash", "replycontent")))"""
+    queries["ingest_two_runs"] = f"""SELECT target, rowkey, family, qualifier, value, 3 * count(*) AS writes,
+        CAST(3 AS BIGINT) AS runs FROM ({queries["ingest_webpage_home"]}) GROUP BY ALL"""
     for name in ("stream_equals_batch", "stream_replay_idempotent"):
         queries[name] = queries["ingest_snapshot"]
     for name, time_name in (("ingest_replies", "kafkatime"), ("ingest_replies_timed", "inserttime")):

@@ -519,6 +519,23 @@ def stream_replay_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(spark, sf, replay=True)
 
 
+def ingest_two_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored writes of each cell after a back-fill, a stream and a second back-fill into one store."""
+    folder = _scratch(spark, "runs")
+    messages = page_messages(spark, sf, "webpage")
+    messages.write.option("maxRecordsPerFile", 100_000).parquet(f"{folder}/messages")
+    store = KeyedStore(spark, f"{folder}/store")
+    run_batch(WEBPAGE_HOME, messages, store, INGEST_TIME, zone=ZONE, run="first")
+    source = stream_message_files(spark, f"{folder}/messages")
+    run_stream(
+        WEBPAGE_HOME, source, store, f"{folder}/checkpoint", available_now=True, zone=ZONE, now=lambda: INGEST_TIME
+    ).awaitTermination()
+    run_batch(WEBPAGE_HOME, messages, store, INGEST_TIME, zone=ZONE, run="second")
+    cells = store.cells("webpage").unionByName(store.cells("homepage"))
+    key = [F.col("table").alias("target"), "rowkey", "family", "qualifier", "value"]
+    return cells.groupBy(*key).agg(F.count(F.lit(1)).alias("writes"), F.countDistinct("run").alias("runs"))
+
+
 def ingest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """Current cells of the two page tables after one batch."""
     cells = WEBPAGE_HOME.cells(page_messages(spark, sf, "webpage"), INGEST_TIME, ZONE)
@@ -573,6 +590,7 @@ def queries() -> dict[str, Query]:
         "website_documents": website_documents_query,
         "website_index_counts": website_index_counts,
         "ingest_snapshot": ingest_snapshot,
+        "ingest_two_runs": ingest_two_runs,
         "stream_equals_batch": stream_equals_batch,
         "stream_replay_idempotent": stream_replay_idempotent,
     }

@@ -42,6 +42,6 @@ def test_entry(spark):
 
 
 def test_launch_arguments():
-    args = launch.arguments(["zhimei", "--servers", "a:1", "--store", "/s", "--topic", "blog", "--rate", "9", "--table", "t"])
+    args = launch.arguments(["zhimei", "--servers", "a:1", "--store", "/s", "--partitions", "4", "--topic", "blog", "--rate", "9", "--table", "t"])
     spec = launch.spec_of(args)
     assert (spec.topics, spec.rate, spec.interval, spec.table) == (("blog",), 9, 65, "t")
