@@ -397,9 +397,9 @@ _EVENT_TIMES = """
 ev AS (
   SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS d, strftime(ts, '%Y%m%d%H%M%S') AS n FROM events),
 timed AS (
-  SELECT event_id,
-    [d, n, '2016-13-45 25:61:61', d || '.9', 'soon', NULL, substr(n, 1, 8), substr(n, 1, 12),
-     substr(n, 1, 13), substr(d, 1, 16), '', 'NULL'][1 + event_id % 12] AS txt FROM ev)
+  SELECT event_id, forms[1 + event_id % 12] AS txt, forms[1 + (event_id + 11) % 12] AS gather_txt FROM (
+    SELECT event_id, [d, n, '2016-13-45 25:61:61', d || '.9', 'soon', NULL, substr(n, 1, 8), substr(n, 1, 12),
+      substr(n, 1, 13), substr(d, 1, 16), '', 'NULL'] AS forms FROM ev))
 """
 
 
@@ -442,9 +442,10 @@ def _repaired(sent: str, gather: str, source: str, keep: str) -> str:
 
 _SITES = f"""
 sites AS (
-  SELECT ['5','60001','70001','90001','100001','200620','300001','300065','300066','-90100','-5','x']
-    [1 + n_nationkey % 12] AS site_id, max(n_name) AS site_label
-  FROM nation WHERE n_nationkey % 12 NOT IN (3, 7) GROUP BY 1),
+  SELECT CASE WHEN n_nationkey % 12 IN (3, 7) THEN 'other-' || n_nationkey ELSE
+    ['5','60001','70001','90001','100001','200620','300001','300065','300066','-90100','-5','x'][1 + n_nationkey % 12]
+    END AS site_id, max(n_name) AS site_label
+  FROM nation GROUP BY 1),
 languages AS (
   SELECT ['90001','-90100','-5','5'][1 + r_regionkey % 4] AS site_id, max(r_name) AS lang FROM region GROUP BY 1)
 """
@@ -547,6 +548,10 @@ def oracle_sql() -> dict[str, str]:
     floor_cells = """SELECT urlhash || '_' || floorid AS rowkey, url || '#' || floorid AS url,
       floorid, urlhash, '2016-11-24 11:57:02' AS kafkatime, reply AS replycontent
       FROM floor_rows WHERE has_time AND reply <> ''"""
+    wide = ", ".join(f'CAST({column} AS VARCHAR) AS "{name}"' for name, column in MESSAGE_FIELDS.items())
+    listed = ", ".join(f'"{name}"' for name in MESSAGE_FIELDS)
+    sent = f"""WITH {MESSAGES}, wide AS (SELECT p AS page_id, {wide} FROM msg WHERE NOT unreadable),
+        sent_cells AS (SELECT page_id, qualifier, value FROM (FROM wide UNPIVOT (value FOR qualifier IN ({listed}))))"""
     queries = {
         "domain_extract": f"SELECT page_id, {_domain('url', 1)} AS domain_1, {_domain('url', 2)} AS domain_2 FROM pages",
         "domain_counts": f"SELECT {_domain('url', 1)} AS domain_1, count(*) AS pages FROM pages GROUP BY 1",
@@ -568,15 +573,14 @@ def oracle_sql() -> dict[str, str]:
             {_rolled('txt', _DASHED, 'CASE WHEN {h} = 12 THEN 0 ELSE {h} END')} AS ms FROM timed""",
         "time_normalise": f"WITH {_EVENT_TIMES} SELECT event_id, {_normalised('txt')} AS normal FROM timed",
         "publish_repair": f"""WITH {_EVENT_TIMES}, gathered AS (
-            SELECT event_id, txt, {_normalised('lag_txt')} AS gather FROM (
-              SELECT a.event_id, a.txt, b.txt AS lag_txt FROM timed a LEFT JOIN timed b ON b.event_id = a.event_id - 1))
+            SELECT event_id, txt, {_normalised('gather_txt')} AS gather FROM timed)
             {_repaired('txt', 'gather', 'gathered', 'event_id, gather')}""",
         "reverse_text": """SELECT doc_id, array_to_string(list_reverse(string_split(text, '')), '') AS reversed
             FROM documents""",
         "json_parse_events": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
-        "null_to_empty": f"WITH {MESSAGES} SELECT p AS page_id, 'click' AS qualifier, click AS value FROM msg WHERE NOT unreadable AND click IS NOT NULL",
-        "blank_to_empty": f"""WITH {MESSAGES} SELECT p AS page_id, author AS sent,
-            CASE WHEN {_blank('author')} THEN '' ELSE author END AS value FROM msg WHERE NOT unreadable AND author IS NOT NULL""",
+        "null_to_empty": f"{sent} SELECT page_id, qualifier, value FROM sent_cells",
+        "blank_to_empty": f"""{sent} SELECT page_id, qualifier, value AS sent,
+            CASE WHEN {_blank('value')} THEN '' ELSE value END AS value FROM sent_cells""",
         "pad_fields": f"""WITH {MESSAGES}, wide AS (SELECT p, {", ".join(
             f"coalesce({MESSAGE_FIELDS.get(n, 'NULL')}, '') AS " + chr(34) + n + chr(34) for n in fixed.METASEARCH_PAD_FIELDS)}
             FROM msg WHERE NOT unreadable)
@@ -601,13 +605,21 @@ def oracle_sql() -> dict[str, str]:
         "index_route": f"""WITH {MESSAGES} SELECT p AS page_id, CASE WHEN {_number('group_id')} IS NULL THEN NULL
             WHEN {in_home} THEN 'souye/sy' WHEN group_id = '7' THEN 'weiwap/test'
             WHEN ({_number('site_id')}) IS NOT NULL THEN 'zong/tests' END AS idx FROM msg""",
-        "valid_interval_by_city": """WITH subs AS (SELECT o_orderkey AS sub_id, epoch_ms(o_orderdate) AS a,
-              epoch_ms(o_orderdate) + (o_custkey % 400) * 86400000 AS b,
-              (o_custkey % 5) || '|' || (o_orderkey % 7) || '|' AS codes FROM orders),
-            cities AS (SELECT sub_id, unnest(string_split(codes, '|')) AS code FROM subs
-              WHERE a < 852076800000 AND b > 852076800000)
-            SELECT CAST(code AS INTEGER) AS city, count(*) AS subs, CAST(sum(sub_id) AS BIGINT) AS id_sum,
-              min(sub_id) AS first_id, max(sub_id) AS last_id FROM cities WHERE code <> '' GROUP BY 1""",
+        "valid_interval_by_city": """WITH subs AS (SELECT o_orderkey AS sub_id, 'sp' || (o_custkey % 3) AS sp_id,
+              CAST(o_custkey AS VARCHAR) AS location_id, CAST(o_orderkey % 31 AS VARCHAR) AS prov_id,
+              (o_custkey % 5) || '|' || (o_orderkey % 7) || '|' AS city_code, o_custkey % 60 AS interv,
+              o_orderkey % 2 AS available, epoch_ms(o_orderdate) AS start_time,
+              epoch_ms(o_orderdate) + (o_custkey % 400) * 86400000 AS end_time,
+              CAST(o_custkey % 360 AS DOUBLE) / 2 AS center_longitude,
+              CAST(o_custkey % 180 AS DOUBLE) / 2 AS center_latitude, o_custkey % 5000 AS radius,
+              o_orderpriority AS shape FROM orders),
+            told AS (SELECT sub_id, concat_ws('/', sub_id, sp_id, location_id, prov_id, city_code, interv, available,
+              start_time, end_time, center_longitude, center_latitude, radius, shape) AS sub,
+              CAST(('0x' || substr(md5(CAST(sub_id AS VARCHAR)), 1, 8))::BIGINT % 8 AS INTEGER) AS list_no,
+              unnest(string_split(city_code, '|')) AS code
+              FROM subs WHERE start_time < 852076800000 AND end_time > 852076800000)
+            SELECT CAST(code AS INTEGER) AS city, list_no, count(*) AS subs,
+              string_agg(sub, ',' ORDER BY sub_id) AS subscriptions FROM told WHERE code <> '' GROUP BY 1, 2""",
         "upsert_latest_cells": _latest_events(),
         "table_snapshot": f"""SELECT rowkey, max(CASE WHEN qualifier = 'click' THEN value END) AS click,
             max(CASE WHEN qualifier = 'view' THEN value END) AS view,

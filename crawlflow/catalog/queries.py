@@ -122,17 +122,16 @@ def id_rehash(spark: SparkSession, sf: str) -> DataFrame:
 
 # Times and texts ------------------------------------------------------------------------
 def event_times(spark: SparkSession, sf: str) -> DataFrame:
-    """Event times as texts in every form the jobs meet."""
+    """Event times as texts in every form the jobs meet; `gather_txt` in another one than `txt`."""
     texts = table(spark, sf, "events").selectExpr(
         "event_id",
         "date_format(ts, 'yyyy-MM-dd HH:mm:ss') as d",
         "date_format(ts, 'yyyyMMddHHmmss') as n",
     )
+    forms = """element_at(array(d, n, '2016-13-45 25:61:61', d || '.9', 'soon', null, substring(n, 1, 8),
+        substring(n, 1, 12), substring(n, 1, 13), substring(d, 1, 16), '', 'NULL'), cast({} % 12 + 1 as int))"""
     return texts.selectExpr(
-        "event_id",
-        """element_at(array(d, n, '2016-13-45 25:61:61', d || '.9', 'soon', null, substring(n, 1, 8),
-          substring(n, 1, 12), substring(n, 1, 13), substring(d, 1, 16), '', 'NULL'),
-          cast(event_id % 12 + 1 as int)) as txt""",
+        "event_id", f"{forms.format('event_id')} as txt", f"{forms.format('(event_id + 11)')} as gather_txt"
     )
 
 
@@ -165,15 +164,9 @@ def time_normalise(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def publish_repair(spark: SparkSession, sf: str) -> DataFrame:
-    """Publish times repaired with the gather time of the event before."""
-    times = event_times(spark, sf)
-    before = times.select(
-        (F.col("event_id") + 1).alias("event_id"), normalise_time(F.col("txt")).alias("before")
-    )
-    both = times.join(before, "event_id", "left").withColumn(
-        "gather", F.coalesce("before", F.lit(fixed.EPOCH_TEXT))
-    )
-    repaired = with_repaired_publish_time(both, "txt", "gather")
+    """Publish times repaired with the gather time of the same event."""
+    times = event_times(spark, sf).withColumn("gather", normalise_time(F.col("gather_txt")))
+    repaired = with_repaired_publish_time(times, "txt", "gather")
     return repaired.select("event_id", "gather", "publishtime", "publishtime_str")
 
 
@@ -188,15 +181,13 @@ def json_parse_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def null_to_empty_query(spark: SparkSession, sf: str) -> DataFrame:
-    cells = explode_fields(_records(spark, sf)).where(F.col("qualifier") == "click")
+    cells = explode_fields(_records(spark, sf))
     return cells.select("page_id", "qualifier", null_to_empty(F.col("value")).alias("value"))
 
 
 def blank_to_empty_query(spark: SparkSession, sf: str) -> DataFrame:
-    cells = explode_fields(_records(spark, sf)).where(F.col("qualifier") == "author")
-    return cells.select(
-        "page_id", F.col("value").alias("sent"), blank_to_empty(F.col("value")).alias("value")
-    )
+    cells = explode_fields(_records(spark, sf)).withColumn("sent", null_to_empty(F.col("value")))
+    return cells.select("page_id", "qualifier", "sent", blank_to_empty(F.col("sent")).alias("value"))
 
 
 def pad_fields(spark: SparkSession, sf: str) -> DataFrame:
@@ -235,11 +226,12 @@ def stype_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def site_dimension(spark: SparkSession, sf: str) -> DataFrame:
-    """Names of some sites, from the nation table."""
+    """Names of sites, from the nation table; two of the messages' sites are not among them."""
     key = F.col("n_nationkey") % 12
     ids = F.array(*[F.lit(s) for s in SITE_IDS])
-    nations = table(spark, sf, "nation").where(~key.isin(3, 7))
-    return nations.select(F.get(ids, key.cast("int")).alias("site_id"), F.col("n_name").alias("site_name"))
+    other = F.concat(F.lit("other-"), F.col("n_nationkey").cast("string"))
+    site_id = F.when(key.isin(3, 7), other).otherwise(F.get(ids, key.cast("int")))
+    return table(spark, sf, "nation").select(site_id.alias("site_id"), F.col("n_name").alias("site_name"))
 
 
 def language_dimension(spark: SparkSession, sf: str) -> DataFrame:
@@ -300,35 +292,41 @@ def index_route(spark: SparkSession, sf: str) -> DataFrame:
 NOW_MS = 852076800000
 
 
+SUBSCRIPTION_FIELDS = (
+    "sub_id sp_id location_id prov_id city_code interv available start_time end_time "
+    "center_longitude center_latitude radius shape"
+).split()
+
+
 def subscriptions(spark: SparkSession, sf: str) -> DataFrame:
-    """Subscriptions made of the orders."""
+    """Subscriptions made of the orders, with all fields of a subscription."""
     start = F.unix_millis(F.to_timestamp(F.concat(F.col("o_orderdate").cast("string"), F.lit("Z"))))
-    codes = F.concat(
-        (F.col("o_custkey") % 5).cast("string"), F.lit("|"), (F.col("o_orderkey") % 7).cast("string"), F.lit("|")
-    )
-    return table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("sub_id"),
-        codes.alias("city_code"),
-        start.alias("start_time"),
-        (start + (F.col("o_custkey") % 400) * 86400000).alias("end_time"),
+    dated = table(spark, sf, "orders").withColumn("start_time", start)
+    return dated.selectExpr(
+        "o_orderkey as sub_id",
+        "'sp' || o_custkey % 3 as sp_id",
+        "cast(o_custkey as string) as location_id",
+        "cast(o_orderkey % 31 as string) as prov_id",
+        "o_custkey % 5 || '|' || o_orderkey % 7 || '|' as city_code",
+        "cast(o_custkey % 60 as int) as interv",
+        "cast(o_orderkey % 2 as int) as available",
+        "start_time",
+        "start_time + o_custkey % 400 * 86400000 as end_time",
+        "cast(o_custkey % 360 as double) / 2 as center_longitude",
+        "cast(o_custkey % 180 as double) / 2 as center_latitude",
+        "cast(o_custkey % 5000 as int) as radius",
+        "o_orderpriority as shape",
     )
 
 
 def valid_interval_by_city(spark: SparkSession, sf: str) -> DataFrame:
-    lists = lists_by_city(valid_by_city(subscriptions(spark, sf), F.lit(NOW_MS)), list_size=100)
-    # Every list is bounded, so its facts are taken list by list and then summed up.
-    facts = lists.select(
-        "city",
-        F.size("sub_ids").alias("n"),
-        F.aggregate("sub_ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"),
-        F.array_min("sub_ids").alias("low"),
-        F.array_max("sub_ids").alias("high"),
+    """The lists themselves, each subscription as the text of its fields."""
+    lists = lists_by_city(valid_by_city(subscriptions(spark, sf), F.lit(NOW_MS)), buckets=8)
+    told = F.transform(
+        "subscriptions", lambda s: F.concat_ws("/", *[s[name].cast("string") for name in SUBSCRIPTION_FIELDS])
     )
-    return facts.groupBy("city").agg(
-        F.sum("n").alias("subs"),
-        F.sum("total").alias("id_sum"),
-        F.min("low").alias("first_id"),
-        F.max("high").alias("last_id"),
+    return lists.select(
+        "city", "list_no", F.size("subscriptions").cast("long").alias("subs"), F.array_join(told, ",").alias("subscriptions")
     )
 
 

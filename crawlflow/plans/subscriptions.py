@@ -16,16 +16,17 @@ def valid_by_city(subscriptions: DataFrame, now_ms: Column) -> DataFrame:
     return cities.withColumn("city", F.col("_city").try_cast("int")).drop("_city")
 
 
-def lists_by_city(by_city: DataFrame, id_column: str = "sub_id", list_size: int = 10_000) -> DataFrame:
-    """Subscription ids per city, in numbered lists of about `list_size` ids.
+def lists_by_city(by_city: DataFrame, id_column: str = "sub_id", buckets: int = 64) -> DataFrame:
+    """Whole subscriptions per city, in numbered lists (`list_no`) sorted by their fields.
 
-    A city is one list while it is small. A large one is spread over as many
-    lists as it needs, so no task ever holds a whole hot city; all its lists
-    together are the city's entry.
+    The list of a subscription follows from its id alone, so a hot city is dealt out
+    before the one shuffle, and the shape of the result does not depend on the size of
+    the data. All lists of a city together are its entry; `buckets` sets how long they
+    get. Codes that are no number make the entry of the null city.
     """
-    sizes = by_city.groupBy("city").agg(F.count(F.lit(1)).alias("_size"))
-    lists = F.ceil(F.col("_size") / list_size)
-    placed = by_city.join(sizes, "city").withColumn("list_no", F.pmod(F.xxhash64(id_column), lists))
+    digest = F.conv(F.substring(F.md5(F.col(id_column).cast("string")), 1, 8), 16, 10).cast("long")
+    whole = F.struct(*[c for c in by_city.columns if c != "city"])
+    placed = by_city.select("city", (digest % buckets).cast("int").alias("list_no"), whole.alias("subscription"))
     return placed.groupBy("city", "list_no").agg(
-        F.sort_array(F.collect_list(id_column)).alias("sub_ids")
+        F.sort_array(F.collect_list("subscription")).alias("subscriptions")
     )

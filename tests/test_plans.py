@@ -330,11 +330,12 @@ def test_subscription_lists_are_bounded_and_whole(spark):
         "id as sub_id", "if(id % 3 = 0, '1|2', '1||3') as city_code", "id as start_time", "id + 9000 as end_time"
     )
     cities = valid_by_city(subs, F.lit(4500))
-    lists = lists_by_city(cities, list_size=100).collect()
+    lists = lists_by_city(cities, buckets=32).collect()
     got = defaultdict(list)
     for r in lists:
-        assert len(r.sub_ids) < 250
-        got[r.city] += r.sub_ids
+        assert len(r.subscriptions) < 250
+        assert all(s.end_time == s.start_time + 9000 and s.city_code for s in r.subscriptions)
+        got[r.city] += [s.sub_id for s in r.subscriptions]
     valid = range(0, 4500)
     assert {k: sorted(v) for k, v in got.items()} == {
         1: list(valid),
@@ -343,6 +344,19 @@ def test_subscription_lists_are_bounded_and_whole(spark):
     }
 
 
+def test_subscription_lists_keep_codes_that_are_no_number(spark):
+    subs = spark.createDataFrame([(1, "x|2", 0, 9), (2, "y", 0, 9)], "sub_id long, city_code string, start_time long, end_time long")
+    lists = lists_by_city(valid_by_city(subs, F.lit(5))).collect()
+    got = sorted((r.city or 0, s.sub_id) for r in lists for s in r.subscriptions)
+    assert got == [(0, 1), (0, 2), (2, 1)]
+
+
+def test_subscription_lists_take_one_shuffle(spark):
+    subs = spark.createDataFrame([(1, "1", 0, 9)], "sub_id long, city_code string, start_time long, end_time long")
+    plan = lists_by_city(valid_by_city(subs, F.lit(5)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_codes(spark):
     df = spark.createDataFrame([("a|b||c|",)], "codes string")
     assert sorted(r.c for r in explode_codes(df, "codes", "c").collect()) == ["a", "b", "c"]
