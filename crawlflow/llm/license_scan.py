@@ -1,10 +1,12 @@
 """License scan: TF-IDF cosine of licence passages to templates, then inheritance down the directories.
 
-Passages are the lines of a text, wherever they stand, that hold a cue of a licence notice (a header,
-one line or more), and the whole text of a licence file. Equal passages are scored once, however many
-files hold them. Terms are weighted by tf * idf, with document frequencies over the passages of all
-files and the templates; the sparse product joins passage terms to template terms (a table of fixed
-size) and sums. The best template above `least` is the passage's licence; the best passage is the
+Passages are the lines of a text, wherever they stand, that hold a cue of a licence notice; its headers,
+runs of lines with a cue or legal wording that have at most `GAP` other lines between them; and the whole
+text of a licence file. Templates are one-sentence notices, and the titles, standard headers and whole
+texts in the folder `licences`. Equal passages are scored once, however many files hold them. Terms are
+weighted by tf * idf, with document frequencies over the single lines and licence files of all files and
+the templates (a header repeats its lines, so it is not counted again); the sparse product joins passage
+terms to template terms (a table of fixed size) and sums. The best template above `least` is the passage's licence; the best passage is the
 file's. A file without one takes the licence of the nearest directory upwards whose licence file has
 one: each distinct directory is joined by path to its ancestors, then files to their directory.
 
@@ -15,15 +17,26 @@ results. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
+import re
+from importlib.resources import files as files_of
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlflow.llm.shared import pinned, rows_of, text_of
+from crawlflow.llm.shared import bind, pinned, rows_of, text_of
 
 # Cues of a notice, names of licence files, and notices of common licences.
 CUE = r"(?i)licen[sc]|copyright|spdx|copyleft|public domain|all rights reserved|redistribut|permission is"
 LICENCE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice|unlicense)([.\-_][^/]*)?$"
-TEMPLATES = {
+#: Wording that holds a header together, and lines that name a holder of rights and tell no licence.
+LEGAL = (
+    r"(?i)warrant|merchantab|particular purpose|noninfringement|in no event|liabl|liabilit|damages|as is|"
+    r"distributed|at your option|following conditions|free software|source code form|hereby granted|mozilla"
+)
+HOLDER = r"(?i)(copyright|\(c\)|©)\W*((\(c\)|©|copyright)\W*)*\d{4}"
+GAP = 3
+NOTICES = {
     "MIT": (
         "Released under the MIT License",
         "Licensed under the MIT license",
@@ -60,19 +73,59 @@ TEMPLATES = {
 }
 
 
+def _stored() -> list[tuple[str, str]]:
+    """Licence and text of the files of `licences`, named <licence>.<title, header or text>.txt."""
+    stored = sorted((f for f in files_of("crawlflow.llm").joinpath("licences").iterdir()), key=lambda f: f.name)
+    return [(re.sub(r"\.(title|header|text)\d*\.txt$", "", f.name), f.read_text("utf-8")) for f in stored]
+
+
+TEMPLATES = {name: list(texts) for name, texts in NOTICES.items()}
+for _name, _text in _stored():
+    TEMPLATES.setdefault(_name, []).append(_text)
+
+
 def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[\\p{L}\\p{N}]+"), F.lit(0))
 
 
+def _headers(lines: Column) -> Column:
+    """Runs of at least two lines with a cue or legal wording, at most GAP other lines between two of them."""
+
+    def joined(told: Column) -> Column:
+        def strong_near(i: Column, ways: int) -> Column:
+            steps = (F.coalesce(F.get(told, i + ways * k)["strong"], F.lit(False)) for k in range(1, GAP + 1))
+            near = F.lit(False)
+            for step in steps:
+                near = near | step
+            return near
+
+        def kept(x: Column, i: Column) -> Column:
+            # A form feed stands for a line of no header.
+            return F.when(x["strong"] | strong_near(i, -1) & strong_near(i, 1), x["line"]).otherwise(F.lit("\f"))
+
+        return F.split(F.array_join(F.transform(told, kept), "\n"), "(\n?\f\n?)+", -1)
+
+    def flagged(line: Column) -> Column:
+        text = F.when(line.rlike(HOLDER), "").otherwise(F.translate(line, "\f", " "))
+        return F.struct(text.alias("line"), (text.rlike(CUE) | text.rlike(LEGAL)).alias("strong"))
+
+    runs = F.transform(bind(F.transform(lines, flagged), joined), lambda run: F.trim(run))
+    return F.filter(runs, lambda run: run.contains("\n") & run.rlike(CUE))
+
+
 def _passages(text: Column, is_file: Column) -> Column:
+    """Structs (passage, header)."""
     lines = F.transform(F.split(text, "\n", -1), lambda line: F.trim(line))
     cued = F.filter(lines, lambda line: line.rlike(CUE))
-    return F.array_distinct(F.when(is_file & (F.trim(text) != ""), F.array_append(cued, F.trim(text))).otherwise(cued))
+    own = F.array_distinct(F.when(is_file & (F.trim(text) != ""), F.array_append(cued, F.trim(text))).otherwise(cued))
+    headers = F.when(text.rlike(CUE), F.array_except(_headers(lines), own)).otherwise(F.array().cast("array<string>"))
+    named = lambda of, header: F.transform(of, lambda x: F.struct(x.alias("passage"), F.lit(header).alias("header")))
+    return F.concat(named(own, False), named(headers, True))
 
 
-def _weights(counted: DataFrame, idf: DataFrame, key: str) -> DataFrame:
-    """key, term and the weight scaled to a unit vector, from key, term, tf."""
-    weighted = counted.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+def _weights(counted: DataFrame, idf: DataFrame, key: str, unseen: float) -> DataFrame:
+    """key, term and the weight scaled to a unit vector, from key, term, tf; `unseen`: idf of terms without one."""
+    weighted = counted.join(idf, "term", "left").select(key, "term", (F.col("tf") * F.coalesce("idf", F.lit(unseen))).alias("w"))
     norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return weighted.join(norms, key).select(key, "term", (F.col("w") / F.col("norm")).alias("w"))
 
@@ -80,6 +133,7 @@ def _weights(counted: DataFrame, idf: DataFrame, key: str) -> DataFrame:
 def scored_passages(spark: SparkSession, found: DataFrame, least: float) -> DataFrame:
     """pid, license, score of the distinct passages in `found` (pid, passage, n) that resemble a template.
 
+    `n` is how often a passage counts in the document frequencies, 0 for what is a header only.
     Terms carry the digest of their passage: a whole licence file may be one passage, and its text
     beside each of its terms would grow with the square of its length.
     """
@@ -95,12 +149,13 @@ def scored_passages(spark: SparkSession, found: DataFrame, least: float) -> Data
     of_passages = pinned(terms_of(found.select("pid", "n", F.col("passage").alias("text")), "pid", "n"))
     of_templates = pinned(terms_of(templates, "template"))
     total = (found.agg(F.sum("n")).first()[0] or 0) + len(rows)
-    seen = of_passages.select("term", "n").unionByName(of_templates.select("term", F.lit(1).cast("long").alias("n")))
+    seen = of_passages.filter("n > 0").select("term", "n").unionByName(of_templates.select("term", F.lit(1).cast("long").alias("n")))
     idf = pinned(
         seen.groupBy("term").agg((F.log((1 + F.lit(total)) / (1 + F.sum("n"))) + 1).alias("idf"))
     )
-    right = _weights(of_templates, idf, "template").select("template", "term", F.col("w").alias("v"))
-    products = _weights(of_passages, idf, "pid").join(F.broadcast(right), "term")
+    unseen = math.log(1 + total) + 1
+    right = _weights(of_templates, idf, "template", unseen).select("template", "term", F.col("w").alias("v"))
+    products = _weights(of_passages, idf, "pid", unseen).join(F.broadcast(right), "term")
     cosine = products.groupBy("pid", "template").agg(F.round(F.sum(F.col("w") * F.col("v")), 6).alias("score"))
     named = cosine.withColumn("license", F.substring_index("template", "#", 1)).filter(F.col("score") >= least)
     best = named.groupBy("pid").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
@@ -118,11 +173,12 @@ def scan(files: DataFrame, least: float = 0.7) -> DataFrame:
     text = text_of(F.col("text"))
     is_file = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
     passages = pinned(
-        files.select("id", "path", is_file.alias("is_file"), F.explode(_passages(text, is_file)).alias("passage"))
+        files.select("id", "path", is_file.alias("is_file"), F.explode(_passages(text, is_file)).alias("p"))
+        .select("id", "path", "is_file", "p.*")
         .withColumn("pid", F.sha2("passage", 256))
     )
-    found = passages.groupBy("pid").agg(F.min("passage").alias("passage"), F.count("*").alias("n"))
-    hits = passages.drop("passage").join(scored_passages(spark, found, least), "pid")
+    found = passages.groupBy("pid").agg(F.min("passage").alias("passage"), F.count_if(~F.col("header")).alias("n"))
+    hits = passages.drop("passage", "header").join(scored_passages(spark, found, least), "pid")
     own = pinned(
         hits.groupBy(F.col("id").alias("of_id"), F.col("path").alias("of_path"), "is_file")
         .agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))

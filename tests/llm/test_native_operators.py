@@ -223,3 +223,81 @@ def test_scan_of_a_long_licence_file_keeps_its_text_out_of_the_terms(spark):
     found = spark.createDataFrame([(1, "a/LICENSE", long), (2, "a/b.txt", "plain")], "id long, path string, text string")
     got = {(r.id, r.license, r.origin) for r in license_scan.scan(found).collect()}
     assert got == {(1, "Apache-2.0", "own"), (2, "Apache-2.0", "inherited")}
+
+
+GPL = """This {what} is free software: you can redistribute it and/or modify
+it under the terms of the GNU {name} as published by
+the Free Software Foundation, either version {version} of the License, or
+(at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {name} for more details.
+
+You should have received a copy of the GNU {name}
+along with this {what}.  If not, see <http://www.gnu.org/licenses/>."""
+STANDARD = {
+    "GPL-3.0": GPL.format(what="program", name="General Public License", version=3),
+    "LGPL-3.0": GPL.format(what="library", name="Lesser General Public License", version=3),
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+     http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
+OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR
+ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON
+ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+}
+
+
+def test_standard_headers_and_licence_files(spark):
+    """Wrapped headers in comments under a copyright line, the same as licence files, and whole licence texts."""
+    rows, expected = [], {}
+    for k, (name, text) in enumerate(STANDARD.items()):
+        lines = [" * Copyright (C) 2019 Jane Q. Public <jane@example.org>", " *", *(f" * {line}".rstrip() for line in text.split("\n"))]
+        rows.append((k, f"c{k}/x.c", "\n".join(["/*", " * Frobs the widgets of a tree.", " *", *lines, " */", "", "int main() {}"])))
+        rows.append((100 + k, f"f{k}/LICENSE", "Copyright (c) 2019, Jane Q. Public\n\n" + text))
+        expected |= {k: name, 100 + k: name}
+    for k, name in enumerate(("GPL-3.0", "GPL-2.0", "LGPL-2.1", "AGPL-3.0", "MPL-2.0", "Apache-2.0")):
+        text = next(t for t in license_scan.TEMPLATES[name] if len(t) > 8000)
+        rows += [(200 + k, f"w{k}/COPYING", "My project\n\n" + " ".join(text.split())), (300 + k, f"w{k}/src/y.c", "int y;")]
+        expected |= {200 + k: name, 300 + k: name}
+    got = {r.id: r.license for r in license_scan.scan(spark.createDataFrame(rows, "id long, path string, text string")).collect()}
+    assert got == expected
