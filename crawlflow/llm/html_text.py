@@ -2,10 +2,13 @@
 
 Every node gets its density: characters per tag, weakened by the share of them that stands in links.
 The node with the largest sum of its children's densities is the core; the lowest density on its path up
-to the body is the threshold. The main text is the subtree on that path that lies highest and still is
-denser than the threshold, or the article or main element around the core. Elements that by name or
-class are no text of an article (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, comments) are left out of the tree; lists and boxes of links below the threshold are dropped.
+to the body is the threshold. The main text is the outermost article or main element around the core. In a
+page without one it is the whole body, as every node on the path reaches the threshold. Lists and boxes of
+links below the threshold are dropped, and so are elements that by name, role or class are no text of an
+article (menus, headers, footers, sidebars, notices, adverts, forms, comments). A class or id counts as a
+whole token, and never on an article or main element. Such an element stays if it holds most of the page's
+text and all of its article text, or nearly all text of the article that it lies in. What is never shown
+(scripts, styles, templates, hidden elements) has no text.
 
 One pass per page without recursion, so deep and long pages are safe. Defined results: a null or empty
 page has no text; text without any element is one block; unclosed and crossing tags are closed as
@@ -25,18 +28,23 @@ from pyspark.sql import DataFrame
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var wbr img br ruby rt rp".split()
+    "strong sub sup time tt u var wbr img br ruby rt rp math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup "
+    "msubsup mover munder munderover mtable mtr mtd mstyle mpadded mphantom mfenced semantics".split()
 )
-SKIPPED = set(
-    "head script style noscript template nav footer aside form iframe svg canvas object button select textarea "
-    "dialog menu audio video map math title".split()
+UNSEEN = set(
+    "head script style noscript template iframe svg canvas object button select textarea audio video map title "
+    "annotation annotation-xml".split()
 )
+ASIDE = set("nav footer aside form dialog menu".split())
+IN_HEAD = set("title meta link script style base noscript template".split())
 BOILERPLATE = re.compile(
-    r"(^|[\s_-])(ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
+    r"ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
     r"sidebar|side-bar|rail|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|footer|header|masthead|"
-    r"comments?|comment-list|replies|respond|disqus|share|sharing|social|related|recommended|newsletter|subscribe|"
-    r"signup|login|search|toolbar|widget|tags|hidden)($|[\s_-])",
-    re.I,
+    r"comments?|replies|respond|disqus|share|sharing|social|related|recommended|newsletter|subscribe|"
+    r"signup|login|search|toolbar|widget|tags|hidden|"
+    r"(site|main|global|top|left|right|primary|secondary)[-_](footer|nav|navbar|navigation|menu|sidebar|rail|banner)|"
+    r"site[-_]header|ad[-_](slot|unit|container|banner|box|wrapper)|(cookie|consent|gdpr)[-_](banner|notice|bar|popup|overlay)|"
+    r"(share|social)[-_](buttons|links|bar|icons)|comments?[-_](list|form|section|area|thread)|related[-_](posts|articles|links)"
 )
 ROLES = set("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 #: A start of the first closes an open element of the second.
@@ -52,26 +60,22 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parent, self.name, self.open = [-1], ["body"], [0]
         self.items: list[tuple[int, str | None]] = []  # (node, text), or (node, None) where a node begins or ends
-        self.skipping: list[str] = []
+        self.unwanted: list[str] = [""]  # "unseen" or "aside", or nothing
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if self.skipping:
-            if tag == self.skipping[0] and tag not in VOID:
-                self.skipping.append(tag)
-            return
+        in_body = tag == "body" or len(self.open) == 2 and tag not in IN_HEAD
+        if in_body and len(self.open) > 1 and self.name[self.open[1]] == "head":
+            del self.open[1:]
         if tag in ("html", "body"):
             return
         if tag not in INLINE:
             self._close({"p"}, SCOPES)
         if tag in CLOSES:
             self._close(CLOSES[tag], SCOPES - {"td", "th"} if tag == "tr" else SCOPES - CLOSES[tag])
-        if self._unwanted(tag, dict(attrs)):
-            if tag not in VOID:
-                self.skipping.append(tag)
-            return
         node = len(self.parent)
         self.parent.append(self.open[-1])
         self.name.append(tag)
+        self.unwanted.append(self._unwanted(tag, dict(attrs)))
         self.items.append((node, None))
         if tag not in VOID:
             self.open.append(node)
@@ -82,30 +86,24 @@ class Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if self.skipping:
-            if tag == self.skipping[0]:
-                self.skipping.pop()
-            return
         if tag in VOID or tag in ("html", "body"):
             return
         self._close({tag}, set() if tag not in INLINE else SCOPES)
 
     def handle_data(self, data: str) -> None:
-        if not self.skipping:
-            self.items.append((self.open[-1], data))
-
-    def _unwanted(self, tag: str, attrs: dict[str, str | None]) -> bool:
-        if tag in SKIPPED or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-            return True
-        within = any(self.name[n] in ("article", "main") for n in self.open)
-        if tag == "header" and not within:
-            return True
-        if tag in ("main", "body"):
-            return False
+        self.items.append((self.open[-1], data))
+
+    def _unwanted(self, tag: str, attrs: dict[str, str | None]) -> str:
+        if tag in UNSEEN or "hidden" in attrs or attrs.get("aria-hidden") == "true":
+            return "unseen"
+        if tag in ("article", "main"):
+            return ""
+        if tag in ASIDE or tag == "header" and not any(self.name[n] in ("article", "main") for n in self.open):
+            return "aside"
         if (attrs.get("role") or "").lower() in ROLES:
-            return True
-        named = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-        return bool(named.strip() and BOILERPLATE.search(named))
+            return "aside"
+        named = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split()
+        return "aside" if any(map(BOILERPLATE.fullmatch, named)) else ""
 
     def _close(self, names: set[str], stop: set[str]) -> None:
         """Close the innermost open element of `names`, with all in it, unless one of `stop` lies between."""
@@ -119,19 +117,47 @@ class Page(HTMLParser):
                 return
 
 
-def _densities(page: Page) -> tuple[list[float], list[float], list[int], list[int], list[int]]:
+def _left_out(page: Page) -> list[bool]:
+    """Whether a node is no text of an article, by itself or by what it lies in."""
+    n = len(page.parent)
+    gone, size, story, scope = [False] * n, [0] * n, [0] * n, [0] * n
+    for i in range(1, n):
+        up = page.parent[i]
+        gone[i] = page.unwanted[i] == "unseen" or gone[up]
+        scope[i] = up if page.name[up] in ("article", "main") else scope[up]
+    for node, text in page.items:
+        if text is not None and not gone[node]:
+            size[node] += len(text.strip())
+    for i in range(n - 1, 0, -1):
+        if page.name[i] in ("article", "main"):
+            story[i] = size[i]
+        size[page.parent[i]] += size[i]
+        story[page.parent[i]] += story[i]
+    for i in range(1, n):
+        aside = page.unwanted[i] == "aside"
+        if aside and scope[i]:
+            aside = 10 * size[i] <= 9 * size[scope[i]]
+        elif aside:
+            aside = 2 * size[i] <= size[0] or story[i] < story[0]
+        gone[i] = gone[i] or aside or gone[page.parent[i]]
+    return gone
+
+
+def _densities(page: Page, gone: list[bool]) -> tuple[list[float], list[float], list[int], list[int], list[int]]:
     n = len(page.parent)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
     for i in range(1, n):
         in_link[i] = page.name[i] == "a" or in_link[page.parent[i]]
     for node, text in page.items:
-        if text is not None:
+        if text is not None and not gone[node]:
             size = len(text.strip())
             chars[node] += size
             if in_link[node]:
                 link_chars[node] += size
     for i in range(n - 1, 0, -1):
+        if gone[i]:
+            continue
         up = page.parent[i]
         chars[up] += chars[i]
         link_chars[up] += link_chars[i]
@@ -158,7 +184,8 @@ def extract(html: str) -> str:
     page = Page()
     page.feed(html)
     page.close()
-    density, sums, chars, link_chars, link_tags = _densities(page)
+    gone = _left_out(page)
+    density, sums, chars, link_chars, link_tags = _densities(page, gone)
     if not chars[0]:
         return ""
     core = max(range(len(sums)), key=lambda i: (sums[i], density[i], -i))
@@ -166,24 +193,21 @@ def extract(html: str) -> str:
     while path[-1]:
         path.append(page.parent[path[-1]])
     threshold = min(density[i] for i in path)
-    root = next((i for i in path if page.name[i] in ("article", "main")), None)
-    if root is None:
-        denser = [i for i in path if density[i] > threshold]
-        root = denser[-1] if denser else path[-1]
-        while root and page.name[root] in INLINE | {"p", "h1", "h2", "h3", "li", "td", "tr", "tbody"}:
-            root = page.parent[root]
+    root = next((i for i in reversed(path) if page.name[i] in ("article", "main")), 0)
     n = len(page.parent)
     inside = [False] * n
     inside[root] = True
     for i in range(root + 1, n):
         links_box = page.name[i] in BOXES and link_tags[i] > 1 and density[i] < threshold and 2 * link_chars[i] > chars[i]
-        inside[i] = inside[page.parent[i]] and not links_box
+        inside[i] = inside[page.parent[i]] and not gone[i] and not links_box
     blocks: list[str] = []
     current: list[str] = []
     for node, text in page.items:
         if text is not None:
             if inside[node]:
                 current.append(text)
+        elif gone[node]:
+            continue
         elif page.name[node] == "br":
             current.append(" ")
         elif page.name[node] not in INLINE:

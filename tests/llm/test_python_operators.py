@@ -100,6 +100,34 @@ def test_html(spark):
     assert html_text.extract_pages(pages.limit(0)).count() == 0
 
 
+LINE = "A sentence of the article that is about a hundred characters long, so that its density counts for it."
+WHOLE_PAGES = {
+    # No article or main element: siblings, and a title beside the text.
+    f"<body><div><h1>Head</h1><p>{LINE}</p><p>{LINE}</p></div><div>{f'<p>{LINE}</p>' * 5}</div></body>": "Head" + f"\n{LINE}" * 7,
+    f"<body><nav><a href=x>Menu</a></nav><h1>Head</h1><div>{f'<p>{LINE}</p>' * 3}</div></body>": "Head" + f"\n{LINE}" * 3,
+    # Omitted end tags of what is left out.
+    f"<article><p class=notice>Note<p>{LINE}<p>{LINE}</article>": f"{LINE}\n{LINE}",
+    f"<article><p>{LINE}</p><ul><li class=nav>Top<li>One<li>Two</ul><p>{LINE}</p></article>": f"{LINE}\nOne\nTwo\n{LINE}",
+    f"<article><div><aside>Box</div><p>{LINE}</p></article>": LINE,
+    f"<head><title>T</title><meta charset=utf-8><body><p>{LINE}</p>": LINE,
+    f"<head><title>T</title><p>{LINE}</p>": LINE,
+    # Parts of hyphenated names say nothing, and an article is one by whatever class.
+    f"<div class='page has-sidebar'><article class='post comments-open header'><div class=content-header><h1>Head</h1></div><p>{LINE}</p>"
+    "</article></div>": f"Head\n{LINE}",
+    # Names that would take most of the text.
+    f"<body><form id=aspnet><nav><a href=x>Menu</a></nav><p>{LINE}</p></form></body>": LINE,
+    f"<body><div class=search><p>{LINE}</p><div class=comments>Nice!</div></div></body>": LINE,
+    f"<article><div class=social><p>{LINE}</p></div></article>": LINE,
+    f"<body><article><p>{LINE}</p></article><div class=comments>{f'<p>{LINE}</p>' * 9}</div></body>": LINE,
+    "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be even.</p></article>": "Let x=2 be even.",
+}
+
+
+def test_html_drops_nothing_else():
+    for page, expected in WHOLE_PAGES.items():
+        assert html_text.extract(page) == expected, page
+
+
 def jaccard(a, b):
     def grams(t):
         w = (t or "").lower().split()
