@@ -1,12 +1,12 @@
 """Near-duplicate classes by DartMinHash.
 
-A text is the weighted set of its five-word shingles (words between white space, lower case; weight
-1 + log2 of the count). Each element throws darts into its region [0, weight) x [0, rank bound): the
+A text is the set of its distinct five-word shingles (words between white space, lower case). Each has
+weight 1 whatever its count, as pairs are accepted by the similarity of the sets. Each element throws darts into its region [0, weight) x [0, rank bound): the
 weight axis is cut into doubling bands, and in each band the darts of an element are a Poisson process
 whose gaps, heights and coordinates come from hashes, the same in every text. The rank bound is chosen
 so that about k ln k + 3k darts fall in a text, whatever its length; of the darts on a coordinate the
 earliest stays. A text with an empty coordinate throws again with twice the bound. Two texts agree on a
-coordinate with the probability of their weighted Jaccard similarity. `bands` groups of `rows`
+coordinate with the probability of their Jaccard similarity (weighted, where weights differ). `bands` groups of `rows`
 coordinates are the buckets: at 24 x 5 a pair with similarity 0.8 meets in none with probability 7e-5.
 
 Texts of equal words are one node (their copies link to the smallest doc_id and are never compared).
@@ -121,21 +121,15 @@ def dart_signatures(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray
     return signatures
 
 
-def _weighted(text: str) -> tuple[np.ndarray, np.ndarray]:
-    elements, counts = np.unique(shingles(text), return_counts=True)
-    return elements, 1.0 + np.log2(counts)
-
-
 def _signed(bands: int, rows: int):
     def run(batches):
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for i, j in portions(texts, 2_000_000):
-                sets = [_weighted(t) for t in texts[i:j]]
-                owner = np.repeat(np.arange(j - i), [len(e) for e, _ in sets])
-                signatures = dart_signatures(
-                    np.concatenate([e for e, _ in sets]), np.concatenate([w for _, w in sets]), owner, j - i, bands * rows
-                )
+                sets = [np.unique(shingles(t)) for t in texts[i:j]]
+                owner = np.repeat(np.arange(j - i), list(map(len, sets)))
+                elements = np.concatenate(sets)
+                signatures = dart_signatures(elements, np.ones(len(elements)), owner, j - i, bands * rows)
                 keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), (j - i, bands)).copy()
                 with np.errstate(over="ignore"):
                     for r in range(rows):

@@ -190,6 +190,19 @@ def test_links_of_members_whose_leaders_differ(spark):
         assert {r.doc_id: r.class_id for r in near_dedup.near_classes(docs, **options).collect()} == expected
 
 
+def test_texts_that_differ_in_repeats(spark):
+    """Whole texts repeated, and pages in which a long passage recurs: alike as sets, not by counts."""
+    rng = random.Random(6)
+    prose = lambda n: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+    rows = []
+    for i in range(0, 120, 3):
+        text, passage, rest = prose(200), prose(150), prose(50)
+        rows += [(i, text), (i + 1, " ".join([text] * (2 + i % 7)))]
+        rows += [(1000 + i, f"{passage} {rest}"), (1001 + i, " ".join([passage] * (2 + i % 7) + [rest]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_dedup.near_classes(docs).collect()} == brute_classes(docs.collect())
+
+
 def test_dart_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(4)
     elements = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
