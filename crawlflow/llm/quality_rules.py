@@ -2,8 +2,10 @@
 
 Each document is measured in place with built-in expressions. Rule failures are summed by host
 (`source`) on the map side, so a host of any size leaves a map task as one row. A beta prior is
-fitted to the hosts' rates by moments for each rule, every host's rate is shrunk to it, and hosts
-with a shrunk rate above `limit` fail. Verdicts go back to the documents by a join; the host
+fitted to the hosts' rates by moments for each rule, each host counting alike and less its sampling
+noise; every host's rate is shrunk to it, and hosts with a shrunk rate above `limit` fail. The prior
+weighs a bounded number of documents: one bad host among ever more good ones would else be shrunk to
+them, and a host's verdict follow from the size of the corpus. Verdicts go back to the documents by a join; the host
 table is broadcast while its counted rows are below `max_broadcast_hosts`, else joined by
 shuffle with skewed hosts split by the engine.
 
@@ -91,25 +93,32 @@ def measured(docs: DataFrame, *carry: Column) -> DataFrame:
     return held.select(*[c for c in held.columns if c != "m"], "m.w.*", "m.l.*", "m.n_symbols")
 
 
-def host_verdicts(measures: DataFrame, limit: float = 0.5, least_strength: float = 10.0) -> DataFrame:
-    """host, n_docs, one shrunk rate a rule, and host_ok. The prior weighs at least `least_strength` documents."""
+def host_verdicts(measures: DataFrame, limit: float = 0.5) -> DataFrame:
+    """host, n_docs, one shrunk rate a rule, and host_ok."""
     failures = [F.count_if(F.expr(rule)).alias(f"f_{name}") for name, rule in RULES.items()]
-    hosts = pinned(measures.groupBy("host").agg(F.count("*").alias("n_docs"), *failures))
-    totals = hosts.agg(
-        F.sum("n_docs").alias("docs"), F.count("*").alias("hosts"), *[F.sum(f"f_{name}").alias(name) for name in RULES]
-    ).first()
-    if not totals["docs"]:
+    return verdicts_of_counts(pinned(measures.groupBy("host").agg(F.count("*").alias("n_docs"), *failures)), limit)
+
+
+def verdicts_of_counts(
+    hosts: DataFrame, limit: float = 0.5, least_strength: float = 10.0, most_strength: float = 40.0
+) -> DataFrame:
+    """`hosts` (host, n_docs, f_<rule>) with shrunk rates and host_ok.
+
+    The prior weighs `least_strength` to `most_strength` documents: of more than the latter, a host
+    fails if all do, however many other hosts there are.
+    """
+    raw = {name: F.col(f"f_{name}") / F.col("n_docs") for name in RULES}
+    told = hosts.agg(F.count("*").alias("hosts"), F.avg(1 / F.col("n_docs")).alias("h"), *[F.avg(r).alias(n) for n, r in raw.items()]).first()
+    if not told["hosts"]:
         return hosts.withColumn("host_ok", F.lit(True))
-    docs, n_hosts = totals["docs"], totals["hosts"]
-    means = {name: totals[name] / docs for name in RULES}
-    spread = hosts.agg(
-        *[F.sum(F.col("n_docs") * F.pow(F.col(f"f_{n}") / F.col("n_docs") - means[n], 2)).alias(n) for n in RULES]
-    ).first()
+    spread = hosts.agg(*[F.avg(F.pow(r - told[n], 2)).alias(n) for n, r in raw.items()]).first()
     ok = F.lit(True)
-    for name, mean in means.items():
+    for name in RULES:
+        mean = told[name]
         noise = mean * (1 - mean)
-        between = spread[name] / docs - noise * n_hosts / docs
-        strength = min(max(noise / between - 1, least_strength), 1e6) if between > 0 else 1e6
+        # A host's rate varies by between + (noise - between) / n_docs; `h` is the mean of 1 / n_docs.
+        between = (spread[name] - noise * told["h"]) / (1 - told["h"]) if told["h"] < 1 else 0.0
+        strength = min(max(noise / between - 1, least_strength), most_strength) if between > 0 else most_strength
         rate = (F.col(f"f_{name}") + mean * strength) / (F.col("n_docs") + strength)
         hosts = hosts.withColumn(f"rate_{name}", rate)
         ok = ok & (F.col(f"rate_{name}") <= limit)

@@ -80,6 +80,16 @@ def test_host_with_failing_documents_goes(spark):
     assert 300 in {r.doc_id for r in quality_rules.quality(more).filter("kept").collect()}
 
 
+@pytest.mark.parametrize("others", [20, 2_000, 20_000])
+def test_verdict_of_a_failing_host_whatever_the_corpus(spark, others):
+    """Hosts of 500 documents failing at 3%, up to ten million documents, and wholly failing hosts of 50 and more."""
+    fair = "cast(8 + pmod(xxhash64(id), 15) as long)"
+    hosts = spark.range(others).selectExpr("concat('h', id) as host", "500L as n_docs", *[f"{fair} as f_{r}" for r in quality_rules.RULES])
+    bad = spark.createDataFrame([(f"bad{n}", n, 0, 0, n, 0) for n in (50, 300, 500)] + [("one", 1, 0, 0, 1, 0)], hosts.schema)
+    verdicts = quality_rules.verdicts_of_counts(hosts.union(bad))
+    assert {r.host for r in verdicts.filter("not host_ok").collect()} == {"bad50", "bad300", "bad500"}
+
+
 def test_sharding(docs):
     rows = sharding.sharded(docs, 8).collect()
     texts = Counter((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in docs.collect())
