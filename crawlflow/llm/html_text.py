@@ -12,7 +12,7 @@ text and all of its article text, or nearly all text of the article that it lies
 
 One pass per page without recursion, so deep and long pages are safe. Defined results: a null or empty
 page has no text; text without any element is one block; unclosed and crossing tags are closed as
-browsers do in simple cases. Repeated rows get equal results. Further columns are not read.
+browsers do in simple cases; malformed declarations (`<![x[y]]>`) are comments. Repeated rows get equal results. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -90,6 +90,11 @@ class Page(HTMLParser):
             return
         self._close({tag}, set() if tag not in INLINE else SCOPES)
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """`<![word[ ...>` is a comment up to its `>` or the end, as in browsers; the base class fails on unknown words."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
     def handle_data(self, data: str) -> None:
         self.items.append((self.open[-1], data))
 

@@ -8,8 +8,9 @@ the hashes found repeatedly, with their first place, are joined back.
 
 Defined results: a null text counts as empty; blank lines belong to no window and stay; a text of
 fewer than three lines with words stays whole. A null doc_id is before all others. Rows that repeat
-a doc_id and text are one document and lose the same lines. Further columns pass unchanged. An
-empty table gives an empty table.
+a doc_id and text are one document and lose the same lines. Further columns pass unchanged, but for input
+columns `n_lines` and `n_removed`: the results take their names. An empty table gives an empty table. The
+window of three lines does not see repeats of one or two lines, nor any in a text with fewer than three.
 """
 
 from __future__ import annotations

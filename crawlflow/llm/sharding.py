@@ -84,7 +84,7 @@ def sharded(
         (F.octet_length(binary) + 1).cast("long").alias("size"),
         F.crc32(binary).alias("text_crc32"),
         F.xxhash64(F.lit("row"), "doc_id").alias("point"),
-        *carry,
+        F.struct(*carry, F.lit(0).alias("_last")).alias("carried"),
     ).withColumn("cell", F.shiftrightunsigned("point", 64 - ring_bits))
     counts = {r["cell"]: r["n"] for r in _cells(docs, ring_bits).collect()}
     rows = sum(counts.values())
@@ -117,7 +117,7 @@ def sharded(
             F.col("span.shard").alias("shard"),
             (F.col("span.slot0") + F.col("rank") - F.col("span.first")).alias("slot"),
             F.lit(None).cast("int").alias("grown_shard"),
-            *[c for c in keys.columns if c not in ("doc_id", "size", "text_crc32", "point", "cell")],
+            *[F.col(f"carried.`{c}`") for c in keys.schema["carried"].dataType.names if c != "_last"],
         )
     )
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -76,8 +77,38 @@ def test_host_with_failing_documents_goes(spark):
     assert kept == {i for i in range(40) if i % 10} | {200, 201}
     assert {r.doc_id for r in quality_rules.keep_quality(docs).collect()} == kept
     # Shrinkage: one failure of a host of one document is not enough.
-    more = docs.union(spark.createDataFrame([(300, good + " | |" * 60, "one")], docs.schema))
+    signs = " ".join(f"k{i}#|$" for i in range(60))
+    more = docs.union(spark.createDataFrame([(300, signs, "one")], docs.schema))
     assert 300 in {r.doc_id for r in quality_rules.quality(more).filter("kept").collect()}
+    measures = quality_rules.measured(more, docs.doc_id, docs.source.alias("host"))
+    rates = {r.host: r.rate_symbols for r in quality_rules.host_verdicts(measures).collect()}
+    assert rates["fair"] < rates["one"] < 1
+
+
+def test_shrunk_rates_by_brute_force(spark):
+    """The moments of the host rates, and the verdict of hosts that fail, computed anew."""
+    rules = list(quality_rules.RULES)
+    rng = random.Random(8)
+    counts = []
+    for h in range(60):
+        n = rng.choice((1, 3, 20, 400))
+        bad = h % 9 == 0
+        counts.append((f"h{h}", n, *[rng.randint(n * 9 // 10, n) if bad else min(n, rng.randint(0, 1 + n // 20)) for _ in rules]))
+    table = spark.createDataFrame(counts, "host string, n_docs long, " + ", ".join(f"f_{r} long" for r in rules))
+    got = {r.host: r for r in quality_rules.verdicts_of_counts(table).collect()}
+    h = sum(1 / c[1] for c in counts) / len(counts)
+    failing = set()
+    for k, rule in enumerate(rules):
+        raw = [c[2 + k] / c[1] for c in counts]
+        mean = sum(raw) / len(raw)
+        spread = sum((r - mean) ** 2 for r in raw) / len(raw)
+        between = (spread - mean * (1 - mean) * h) / (1 - h)
+        strength = min(max(mean * (1 - mean) / between - 1, 10), 40) if between > 0 else 40
+        for c in counts:
+            rate = (c[2 + k] + mean * strength) / (c[1] + strength)
+            assert abs(got[c[0]][f"rate_{rule}"] - rate) < 1e-9
+            failing |= {c[0]} if rate > 0.5 else set()
+    assert failing and failing == {name for name, r in got.items() if not r.host_ok}
 
 
 @pytest.mark.parametrize("others", [20, 2_000, 20_000])
@@ -103,6 +134,12 @@ def test_sharding(docs):
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
 
 
+def test_sharding_carries_any_column(spark):
+    docs = spark.createDataFrame([(i, "t", i, i, i, i) for i in range(50)], "doc_id long, text string, cell long, point long, rank long, span long")
+    got = sharding.sharded(docs, 8, *[docs[c] for c in ("cell", "point", "rank", "span")]).collect()
+    assert len(got) == 50 and all(r.cell == r.point == r["rank"] == r.span == r.doc_id for r in got)
+
+
 def test_ring_walk():
     orders = [[0, 1, 2], [1, 2, 0], [2, 0, 1]]
     spans = sharding.walk({0: 5, 1: 1, 2: 0}, orders, [2, 2, 2])
@@ -311,3 +348,9 @@ def test_standard_headers_and_licence_files(spark):
         expected |= {200 + k: name, 300 + k: name}
     got = {r.id: r.license for r in license_scan.scan(spark.createDataFrame(rows, "id long, path string, text string")).collect()}
     assert got == expected
+
+
+def test_line_dedup_names_its_counts(spark):
+    docs = spark.createDataFrame([(1, "a\nb\nc\nd", 5, "x"), (2, "a\nb\nc", 6, "y")], "doc_id long, text string, n_lines int, of_id string")
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
+    assert [(got[i].n_lines, got[i].n_removed, got[i].of_id, got[i].text) for i in (1, 2)] == [(4, 0, "x", "a\nb\nc\nd"), (3, 3, "y", "")]

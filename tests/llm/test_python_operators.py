@@ -223,3 +223,16 @@ def test_empty_tables(empty):
     assert bpe.round_trip(empty, PATH).count() == 0
     assert token_files.token_file_digest(empty, PATH).count() == 0
     assert near_dedup.near_classes(empty).count() == near_dedup.near_dedup(empty).count() == 0
+
+
+def test_malformed_pages_do_not_fail(spark, sf):
+    assert html_text.extract("<article><p>One</p><![foo[b]]><p>Two</p></article>") == "One\nTwo"
+    assert html_text.extract("<article><p>One</p><![foo[b") == "One"
+    rng = random.Random(3)
+    pages = [r.html for r in spark.read.parquet(f"{sf}/pages.parquet").select("html").limit(20).collect()]
+    odd = ["<![x[y]]>", "<!doctype [", "<!", "</", "<![CDATA[z]]>", "<?p", "&#xfffffff;", "<a b='", "<!-- ", "\x00", "<![", "]]>", "<!ELEMENT br>"]
+    for page in pages:
+        for _ in range(10):
+            at = rng.randrange(len(page))
+            assert isinstance(html_text.extract(page[:at] + rng.choice(odd) + page[at + rng.randrange(3) :]), str)
+            assert isinstance(html_text.extract(page[:at]), str)
