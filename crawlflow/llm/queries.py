@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from crawlflow.llm import (
     bpe,
+    centroid_clusters,
     exact_dedup,
     html_text,
     license_scan,
     line_dedup,
     mixing,
+    multi_index,
     near_dedup,
     quality_rules,
     sharding,
@@ -76,6 +78,15 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.memberships(table(spark, folder, "documents"))
 
 
+def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_clusters.cluster_vectors(table(spark, folder, "embeddings"), k=40, rounds=5).drop("looked")
+
+
+def op13_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    found = multi_index.nearest_neighbours(table(spark, folder, "embeddings"), every=100, top=10)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         q.__name__: q
@@ -90,12 +101,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_html_text,
             op9_license_scan,
             op10_exact_dedup,
+            op12_centroid_clusters,
+            op13_multi_index,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": OP4, "op10_exact_dedup": OP10}
+    return {"op4_line_dedup": OP4, "op10_exact_dedup": OP10, "op12_centroid_clusters": op12_sql()}
 
 
 OP4 = r"""
@@ -133,3 +146,37 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
        doc_id = max(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256
 FROM hashed
 """
+
+
+def op12_sql(k: int = 40, rounds: int = 5) -> str:
+    """The rounds of the clustering one after the other, each comparing every vector with every centroid."""
+    steps = [
+        """v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q,
+         sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, q) - 1 AS c, q FROM (SELECT h, q FROM v ORDER BY h, q LIMIT {k})
+)""",
+    ]
+    for turn in range(rounds + 1):
+        steps.append(f"""a{turn} AS MATERIALIZED (
+  SELECT r, min(struct_pack(d := list_inner_product(v.q, v.q) + list_inner_product(c.q, c.q) - 2 * list_inner_product(v.q, c.q), c := c)) AS m
+  FROM v CROSS JOIN c{turn} c GROUP BY r
+)""")
+        if turn < rounds:
+            steps.append(f"""s{turn} AS (
+  SELECT m.c AS c, i, sum(q[i])::BIGINT AS s, count(*) AS n FROM a{turn} JOIN v USING (r) CROSS JOIN range(1, 65) t(i) GROUP BY 1, 2
+), c{turn + 1} AS MATERIALIZED (
+  SELECT c, coalesce(any_value(f.q), any_value(o.q)) AS q FROM c{turn} o LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) / n)::DOUBLE ORDER BY i) AS q FROM s{turn} GROUP BY c
+  ) f USING (c) GROUP BY c
+)""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, m.c::INTEGER AS cluster, m.d::BIGINT AS distance, (sum(m.d) OVER (PARTITION BY m.c))::BIGINT AS cluster_inertia,
+       (sum(m.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(c.q, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN c{rounds} c ON m.c = c.c
+"""
