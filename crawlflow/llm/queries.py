@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from crawlflow.llm import (
     bpe,
     centroid_clusters,
+    collocations,
     exact_dedup,
     html_text,
     license_scan,
@@ -78,6 +79,10 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.memberships(table(spark, folder, "documents"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"), least=100, top=2000)
+
+
 def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return centroid_clusters.cluster_vectors(table(spark, folder, "embeddings"), k=40, rounds=5).drop("looked")
 
@@ -101,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_html_text,
             op9_license_scan,
             op10_exact_dedup,
+            op11_collocations,
             op12_centroid_clusters,
             op13_multi_index,
         )
@@ -108,7 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": OP4, "op10_exact_dedup": OP10, "op12_centroid_clusters": op12_sql()}
+    return {"op4_line_dedup": OP4, "op10_exact_dedup": OP10, "op11_collocations": OP11, "op12_centroid_clusters": op12_sql()}
 
 
 OP4 = r"""
@@ -147,6 +153,40 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
 FROM hashed
 """
 
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS MATERIALIZED (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+), totals AS (
+  SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang
+), starts AS (
+  SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words CROSS JOIN range(1, 6) t(m) WHERE len(w) >= m
+), counts AS MATERIALIZED (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM starts GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, m, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[k + 1:m], ' ') AS tail
+  FROM counts CROSS JOIN range(1, 5) t(k) WHERE k < m
+), scores AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, n, k, (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail
+  JOIN totals t ON t.lang = c.lang
+), lowest AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), parts AS (
+  SELECT lang, f, array_to_string(string_split(phrase, ' ')[i:i + s - 1], ' ') AS part
+  FROM counts CROSS JOIN range(2, 5) t(s) CROSS JOIN range(1, 5) u(i) WHERE s < m AND i + s - 1 <= m
+), held AS (
+  SELECT DISTINCT c.lang, c.phrase FROM counts c JOIN parts p ON p.lang = c.lang AND p.part = c.phrase WHERE 100 * p.f >= 100 * c.f
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM lowest ANTI JOIN held USING (lang, phrase)
+QUALIFY rank <= 2000
+"""
+
 
 def op12_sql(k: int = 40, rounds: int = 5) -> str:
     """The rounds of the clustering one after the other, each comparing every vector with every centroid."""
