@@ -460,19 +460,27 @@ floors AS (SELECT d, urlhash, url, has_time, unnest(range(1, len(parts) + 1)) AS
 floor_rows AS (SELECT d, urlhash, url, has_time, CAST(i + 1 AS INTEGER) AS floorid, parts[i] AS reply, i, parts FROM floors)
 """
 
-_LOG = """
+_LOGS = f"""
 logs AS (
   SELECT event_id AS e, user_id,
     CASE WHEN event_id % 11 = 0 THEN 'x' ELSE CAST(event_id AS VARCHAR) END AS vtime_text,
     CASE WHEN event_id % 7 = 0 THEN 'null' WHEN event_id % 7 = 1 THEN '' ELSE 'm' || user_id END AS muid,
-    ['http://www.chexun.com/2016-11-24/123456789.html', 'http://www.ihaha.com/2016-11-24/123456789.html',
-     'http://www.example.com/'][1 + event_id % 3] AS ucp,
+    {list(fixed.LOG_PAGES)}[1 + event_id % 3] AS ucp,
     ['100000726;100000730;123456789;987654321', 'c', 'null', 'null', 'null'][1 + event_id % 5] AS category,
     CASE WHEN event_id % 4 = 0 THEN 9 ELSE 0 END AS auto_sid,
     CASE WHEN event_id % 2 = 0 THEN 'null' ELSE 'n1' END AS news_id,
     CASE WHEN event_id % 13 < 6 THEN 'd' || event_id ELSE 'null' END AS dealer_id,
     CASE WHEN event_id % 13 < 10 THEN 't' || event_id ELSE 'null' END AS tuan_id
-  FROM events),
+  FROM events)"""
+
+_LOG_TYPES = """CASE WHEN category <> 'null' THEN
+        CASE WHEN ucp LIKE 'http://www.chexun.com/%' THEN
+          CASE WHEN category LIKE '100000726;100000730;%' THEN 'nv' WHEN news_id <> 'null' THEN 'ns' ELSE 'ne' END END
+      WHEN auto_sid <> 0 THEN 'as'
+      WHEN dealer_id <> 'null' THEN 'di'
+      WHEN tuan_id <> 'null' THEN 'ti' END"""
+
+_LOG = f"""{_LOGS},
 log_rows AS (
   SELECT CAST(vtime_text AS BIGINT) AS vtime, muid, CAST(user_id AS VARCHAR) AS uid,
     CASE WHEN category <> 'null' THEN
@@ -480,15 +488,16 @@ log_rows AS (
       WHEN auto_sid <> 0 THEN CAST(auto_sid AS VARCHAR)
       WHEN dealer_id <> 'null' THEN dealer_id
       WHEN tuan_id <> 'null' THEN tuan_id END AS item,
-    CASE WHEN category <> 'null' THEN
-        CASE WHEN ucp LIKE 'http://www.chexun.com/%' THEN
-          CASE WHEN category LIKE '100000726;100000730;%' THEN 'nv' WHEN news_id <> 'null' THEN 'ns' ELSE 'ne' END END
-      WHEN auto_sid <> 0 THEN 'as'
-      WHEN dealer_id <> 'null' THEN 'di'
-      WHEN tuan_id <> 'null' THEN 'ti' END AS types
+    {_LOG_TYPES} AS types
   FROM logs WHERE vtime_text <> 'x' AND muid NOT IN ('null', ''))
 """
 
+_LOG_REJECTS = f"""WITH {_LOGS}, judged AS (
+  SELECT CASE WHEN muid IN ('null', '') THEN 'no_visitor' WHEN vtime_text = 'x' THEN 'bad_time' WHEN {_LOG_TYPES} IS NULL THEN 'no_type' END AS reason,
+    array_to_string([CAST(user_id AS VARCHAR), muid, '-', ucp, '-', '-', '-', '-', '-', vtime_text, '-', '-', '-', '-', '-', '-', '-', '-',
+      CAST(auto_sid AS VARCHAR), '-', '-', '-', '-', '-', '-', category, '-', '-', news_id, dealer_id, tuan_id], chr(9)) AS record
+  FROM logs)"""
+
 _REASONS = """
   CASE WHEN unreadable THEN 'unreadable' WHEN url IS NULL THEN 'no_url'
     WHEN urlhash IS NULL THEN 'no_key' WHEN urlhash = '' THEN 'blank_key' END"""
@@ -500,7 +509,8 @@ def _latest_events(where: str = "TRUE") -> str:
       FROM events WHERE {where} GROUP BY 1, 2"""
 
 
-def _website() -> str:
+def _website(place: str = "") -> str:
+    """Documents of the page messages, with the message's number where `place` is its name and a comma."""
     def text(column: str) -> str:
         return f"CASE WHEN {column} IS NULL OR {column} IN ('', '(null)') THEN '' ELSE {column} END"
 
@@ -513,7 +523,7 @@ def _website() -> str:
     outer_site = f"(({site}) < 1 OR ({site}) BETWEEN 90000 AND 99999)"
     return f"""WITH {MESSAGES}, {_SITES},
     joined AS (
-      SELECT m.site_id, m.site_url, '' AS summary, {text('m.urlhash')} AS urlhash, {text('m.click')} AS click,
+      SELECT m.p, m.site_id, m.site_url, '' AS summary, {text('m.urlhash')} AS urlhash, {text('m.click')} AS click,
         {text('m.reply')} AS reply, '' AS source, '' AS area, {text('m.author')} AS author,
         {text('m.tendency')} AS tendency, '' AS sim_id, {url} AS url,
         CASE WHEN m.site_name <> '' THEN m.site_name ELSE coalesce(s.site_label, '') END AS site_name,
@@ -534,11 +544,53 @@ def _website() -> str:
           WHEN group_id <> '11' AND site_number IS NOT NULL THEN 'zong/tests' END AS idx
       FROM joined),
     dressed AS (SELECT *, domain_1 AS agg_domain_1 FROM placed)
-    {_repaired('sent_time', 'gathertime', 'dressed',
+    {_repaired('sent_time', 'gathertime', 'dressed', place +
       'idx, site_id, site_url, summary, urlhash, click, reply, source, area, author, tendency, sim_id, url, '
       'site_name, group_id, title, content, language, agg_domain_1, domain_1, domain_2, gathertime, inserttime')}"""
 
 
+_PERSON_LINES = """people AS (
+  SELECT p_partkey % 10 AS c, p_partkey AS id, p_brand AS name, CAST(p_size AS VARCHAR) AS age, CASE p_partkey % 10
+      WHEN 3 THEN '?,' || p_brand || ',' || p_size WHEN 4 THEN p_partkey || ',' || p_brand
+      WHEN 5 THEN p_partkey || ',' || p_brand || ',x' WHEN 6 THEN CAST(p_partkey AS VARCHAR) END AS bad FROM part)"""
+
+
+def _stored_sql(queries: dict[str, str]) -> dict[str, str]:
+    """SQL of the queries over stored tables and restarted streams."""
+    website = f"({_website('p, ')})"
+    lost = "p >= (SELECT count(*) // 3 FROM pages) AND p < (SELECT 2 * count(*) // 3 FROM pages)"
+    stored = f"SELECT * FROM {website} WHERE idx IS NOT NULL AND url <> ''"
+    webpage_home = ingest_sql()["snapshot"].replace("WHERE NOT unreadable)", f"WHERE NOT unreadable AND NOT ({lost}))", 1)
+    return {
+        "access_log_inserted": queries["tsv_log_classify"],
+        "access_log_rejects": f"{_LOG_REJECTS} SELECT reason, record FROM judged WHERE reason IS NOT NULL",
+        "access_log_ledger": f"""{_LOG_REJECTS} SELECT 'load' AS run, CAST(0 AS BIGINT) AS batch_id, count(*) AS n_read,
+            count(*) FILTER (reason IS NULL) AS n_good, count(reason) AS n_rejected FROM judged""",
+        "line_rejects": "SELECT 'no_value' AS reason, user_id || ',c1' AS record FROM events WHERE event_id % 17 = 3",
+        "person_stored": f"""WITH {_PERSON_LINES}, good AS (SELECT CAST(id AS VARCHAR) AS rowkey, name, age FROM people WHERE c NOT IN (3, 4, 5, 6))
+            SELECT rowkey, 'cf' AS family, qualifier, value FROM (FROM good UNPIVOT (value FOR qualifier IN (name, age)))""",
+        "person_rejects": f"""WITH {_PERSON_LINES} SELECT DISTINCT CASE c WHEN 3 THEN 'bad_id' WHEN 6 THEN 'no_name' ELSE 'bad_age' END AS errmsg,
+            bad AS record, 'lines' AS topic FROM people WHERE c IN (3, 4, 5, 6)""",
+        "rekey_stored": queries["rekey_projection"].replace("SELECT hash ||", "SELECT * EXCLUDE (p) FROM (SELECT p, hash ||", 1)
+        + ") QUALIFY row_number() OVER (PARTITION BY rowkey ORDER BY CAST(p AS VARCHAR) DESC) = 1",
+        "rekey_rejects": f"WITH {MESSAGES} SELECT 'no_url' AS errmsg, 'newspaper' AS topic, title FROM msg WHERE NOT unreadable AND url IS NULL",
+        "website_stored": f"""SELECT idx, url, site_name, group_id, title, content, language, domain_1, gathertime, publishtime_str
+            FROM ({stored})""",
+        "website_rejects": f"""WITH {MESSAGES}, dead AS (
+              SELECT p, 'unreadable' AS errmsg FROM msg WHERE unreadable
+              UNION ALL SELECT p, CASE WHEN idx IS NULL THEN 'no_index' ELSE 'no_url' END FROM {website} WHERE idx IS NULL OR url = '')
+            SELECT 'website/load/0/pages_' || ((p - CASE WHEN p % 10 = 9 THEN 1 ELSE 0 END) % 4) || '_' || p AS rowkey, errmsg,
+              'website' AS topic FROM dead""",
+        "expired_files_cells": webpage_home,
+        "expired_files_gaps": """SELECT 'webpage' AS topic, 0 AS partition, count(*) // 3 AS first, 2 * count(*) // 3 - 1 AS last,
+            2 * count(*) // 3 - count(*) // 3 AS messages FROM pages""",
+        "topics_added": ingest_sql()["zhimei_mix"],
+        "capped_stream": ingest_sql()["forum"],
+        "website_dimension_change": f"""SELECT idx, url, CASE WHEN p % 2 = 0 AND p >= (SELECT count(*) // 2 FROM pages) AND site_name <> ''
+            THEN site_name || '-2' ELSE site_name END AS site_name FROM ({stored})""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per registered query."""
     site_groups = f"WITH {MESSAGES} SELECT p AS page_id, {{group}} AS group_id FROM msg"
@@ -614,12 +666,13 @@ def oracle_sql() -> dict[str, str]:
               CAST(o_custkey % 180 AS DOUBLE) / 2 AS center_latitude, o_custkey % 5000 AS radius,
               o_orderpriority AS shape FROM orders),
             told AS (SELECT sub_id, concat_ws('/', sub_id, sp_id, location_id, prov_id, city_code, interv, available,
-              start_time, end_time, center_longitude, center_latitude, radius, shape) AS sub,
+              start_time, end_time, center_longitude, center_latitude, radius, shape) AS subscription,
               CAST(('0x' || substr(md5(CAST(sub_id AS VARCHAR)), 1, 8))::BIGINT % 8 AS INTEGER) AS list_no,
               unnest(string_split(city_code, '|')) AS code
               FROM subs WHERE start_time < 852076800000 AND end_time > 852076800000)
-            SELECT CAST(code AS INTEGER) AS city, list_no, count(*) AS subs,
-              string_agg(sub, ',' ORDER BY sub_id) AS subscriptions FROM told WHERE code <> '' GROUP BY 1, 2""",
+            SELECT CAST(code AS INTEGER) AS city, list_no,
+              CAST(row_number() OVER (PARTITION BY CAST(code AS INTEGER), list_no ORDER BY sub_id) AS INTEGER) AS list_pos,
+              subscription FROM told WHERE code <> ''""",
         "upsert_latest_cells": _latest_events(),
         "table_snapshot": f"""SELECT rowkey, max(CASE WHEN qualifier = 'click' THEN value END) AS click,
             max(CASE WHEN qualifier = 'view' THEN value END) AS view,
@@ -659,6 +712,7 @@ def oracle_sql() -> dict[str, str]:
           replycontent AS "replycontent" FROM parts)
         SELECT 'test' AS target, rowkey, 'c1' AS family, qualifier, value FROM
         (FROM r UNPIVOT (value FOR qualifier IN ("url", "floorid", "urlhash", "replycontent")))"""
+    queries |= _stored_sql(queries)
     queries["ingest_two_runs"] = f"""SELECT target, rowkey, family, qualifier, value, 3 * count(*) AS writes,
         CAST(3 AS BIGINT) AS runs FROM ({queries["ingest_webpage_home"]}) GROUP BY ALL"""
     for name in ("stream_equals_batch", "stream_replay_idempotent"):

@@ -49,7 +49,7 @@ from crawlflow.operators.records import field, padded, parse_fields, readable_re
 from crawlflow.plans.access_log import access_records
 from crawlflow.plans.registry import JOBS, REPLIES, REPLIES_ALL_PARTS, WEBPAGE, WEBPAGE_HOME, WEIBO
 from crawlflow.plans.rekey import rekeyed_rows
-from crawlflow.plans.subscriptions import lists_by_city, valid_by_city
+from crawlflow.plans.subscriptions import city_entries, valid_by_city
 from crawlflow.plans.website import website_documents
 from crawlflow.session import checkpoint_root
 from crawlflow.sources.keyed_store import DEAD_LETTERS, KeyedStore, epoch_ms
@@ -62,7 +62,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 ZONE = "UTC"
 
 
-def _records(spark: SparkSession, sf: str, repairs: dict[str, str] | None = None) -> DataFrame:
+def page_records(spark: SparkSession, sf: str, repairs: dict[str, str] | None = None) -> DataFrame:
     """Parsed page messages: page_id and the field map; unreadable ones left out."""
     readable = readable_records(page_messages(spark, sf), repairs)
     return readable.select(F.col("offset").alias("page_id"), "fields")
@@ -181,17 +181,17 @@ def json_parse_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def null_to_empty_query(spark: SparkSession, sf: str) -> DataFrame:
-    cells = explode_fields(_records(spark, sf))
+    cells = explode_fields(page_records(spark, sf))
     return cells.select("page_id", "qualifier", null_to_empty(F.col("value")).alias("value"))
 
 
 def blank_to_empty_query(spark: SparkSession, sf: str) -> DataFrame:
-    cells = explode_fields(_records(spark, sf)).withColumn("sent", null_to_empty(F.col("value")))
+    cells = explode_fields(page_records(spark, sf)).withColumn("sent", null_to_empty(F.col("value")))
     return cells.select("page_id", "qualifier", "sent", blank_to_empty(F.col("sent")).alias("value"))
 
 
 def pad_fields(spark: SparkSession, sf: str) -> DataFrame:
-    filled = _records(spark, sf).withColumn(
+    filled = page_records(spark, sf).withColumn(
         "fields", padded(F.col("fields"), fixed.METASEARCH_PAD_FIELDS)
     )
     wanted = F.col("qualifier").isin(list(fixed.METASEARCH_PAD_FIELDS))
@@ -201,7 +201,7 @@ def pad_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def repair_keys(spark: SparkSession, sf: str) -> DataFrame:
-    repaired = _records(spark, sf, {"insertime": "inserttime", "tendency ": "tendency"})
+    repaired = page_records(spark, sf, {"insertime": "inserttime", "tendency ": "tendency"})
     return repaired.select(
         "page_id",
         field(F.col("fields"), "inserttime").alias("inserttime"),
@@ -292,12 +292,6 @@ def index_route(spark: SparkSession, sf: str) -> DataFrame:
 NOW_MS = 852076800000
 
 
-SUBSCRIPTION_FIELDS = (
-    "sub_id sp_id location_id prov_id city_code interv available start_time end_time "
-    "center_longitude center_latitude radius shape"
-).split()
-
-
 def subscriptions(spark: SparkSession, sf: str) -> DataFrame:
     """Subscriptions made of the orders, with all fields of a subscription."""
     start = F.unix_millis(F.to_timestamp(F.concat(F.col("o_orderdate").cast("string"), F.lit("Z"))))
@@ -320,14 +314,10 @@ def subscriptions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def valid_interval_by_city(spark: SparkSession, sf: str) -> DataFrame:
-    """The lists themselves, each subscription as the text of its fields."""
-    lists = lists_by_city(valid_by_city(subscriptions(spark, sf), F.lit(NOW_MS)), buckets=8)
-    told = F.transform(
-        "subscriptions", lambda s: F.concat_ws("/", *[s[name].cast("string") for name in SUBSCRIPTION_FIELDS])
-    )
-    return lists.select(
-        "city", "list_no", F.size("subscriptions").cast("long").alias("subs"), F.array_join(told, ",").alias("subscriptions")
-    )
+    """The entries of all cities, each subscription as the text of its fields."""
+    entries = city_entries(valid_by_city(subscriptions(spark, sf), F.lit(NOW_MS)), buckets=8)
+    told = F.concat_ws("/", *[F.col(name).cast("string") for name in fixed.SUBSCRIPTION_FIELDS])
+    return entries.select("city", "list_no", "list_pos", told.alias("subscription"))
 
 
 def tsv_log_classify(spark: SparkSession, sf: str) -> DataFrame:
@@ -339,9 +329,7 @@ def access_lines(spark: SparkSession, sf: str) -> DataFrame:
     at = {
         0: "cast(user_id as string)",
         1: "case event_id % 7 when 0 then 'null' when 1 then '' else 'm' || user_id end",
-        3: """element_at(array('http://www.chexun.com/2016-11-24/123456789.html',
-            'http://www.ihaha.com/2016-11-24/123456789.html', 'http://www.example.com/'),
-            cast(event_id % 3 + 1 as int))""",
+        3: f"element_at(array({', '.join(repr(url) for url in fixed.LOG_PAGES)}), cast(event_id % 3 + 1 as int))",
         9: "if(event_id % 11 = 0, 'x', cast(event_id as string))",
         18: "if(event_id % 4 = 0, '9', '0')",
         25: "case event_id % 5 when 0 then '100000726;100000730;123456789;987654321' when 1 then 'c' else 'null' end",
@@ -398,7 +386,7 @@ def table_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 def range_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Row-key range and two columns, read back from a stored table."""
-    store = KeyedStore(spark, _scratch(spark, "range"))
+    store = KeyedStore(spark, scratch(spark, "range"))
     store.append(event_cells(spark, sf), "users", 0, epoch_ms(INGEST_TIME), run="load")
     found = store.latest("users", columns=["click", "view"], families=["c1"], start="1", stop="3")
     return found.select("rowkey", "qualifier", "value")
@@ -412,7 +400,7 @@ def cells_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 def rekey_projection(spark: SparkSession, sf: str) -> DataFrame:
     names = (*fixed.REKEY_FIELDS, "publishdate", "publishtime", fixed.SNAPSHOT)
-    rows = _records(spark, sf).select(
+    rows = page_records(spark, sf).select(
         *[F.element_at("fields", F.lit(name)).alias(name) for name in names]
     )
     return rekeyed_rows(rows, zone=ZONE)
@@ -482,7 +470,7 @@ def website_index_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Streams --------------------------------------------------------------------------------------------
-def _scratch(spark: SparkSession, name: str) -> str:
+def scratch(spark: SparkSession, name: str) -> str:
     """New folder: in the cluster's checkpoint folder, or in local mode a temporary one where none is set."""
     local = spark.sparkContext.master.startswith("local[")
     root = checkpoint_root(spark, tempfile.gettempdir() if local else None)
@@ -491,7 +479,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 def _streamed(spark: SparkSession, sf: str, replay: bool) -> DataFrame:
     """Current cells after page messages went through a stream, batch by batch."""
-    folder = _scratch(spark, "stream")
+    folder = scratch(spark, "stream")
     messages = page_messages(spark, sf, "webpage")
     messages.write.option("maxRecordsPerFile", 100_000).parquet(f"{folder}/messages")
     store = KeyedStore(spark, f"{folder}/store")
@@ -519,7 +507,7 @@ def stream_replay_idempotent(spark: SparkSession, sf: str) -> DataFrame:
 
 def ingest_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Stored writes of each cell after a back-fill, a stream and a second back-fill into one store."""
-    folder = _scratch(spark, "runs")
+    folder = scratch(spark, "runs")
     messages = page_messages(spark, sf, "webpage")
     messages.write.option("maxRecordsPerFile", 100_000).parquet(f"{folder}/messages")
     store = KeyedStore(spark, f"{folder}/store")
@@ -594,4 +582,6 @@ def queries() -> dict[str, Query]:
     }
     for name in JOBS:
         registered[f"ingest_{name.replace('-', '_')}"] = ingest(name)
-    return registered
+    from crawlflow.catalog import stored  # it uses the functions of this module
+
+    return registered | stored.queries()

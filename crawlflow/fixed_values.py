@@ -126,3 +126,16 @@ PUBLISH_TIME_PATTERN = (
 LOG_ITEM_URL_PATTERN = r"http://www.ihaha.com/\d{4}-\d{2}-\d{2}/\d{9}.html"
 LOG_TYPE_URL_PATTERN = r"http://www.chexun.com/\d{4}-\d{2}-\d{2}/\d{9}.html"
 LOG_CATEGORY_PATTERN = r"100000726;100000730;\d{9};\d{9}"
+
+# Fields of a subscription, in the order of its table.
+SUBSCRIPTION_FIELDS = (
+    "sub_id sp_id location_id prov_id city_code interv available start_time end_time "
+    "center_longitude center_latitude radius shape"
+).split()
+
+# Pages of access-log lines, of the two sites that have rules and of another.
+LOG_PAGES = (
+    "http://www.chexun.com/2016-11-24/123456789.html",
+    "http://www.ihaha.com/2016-11-24/123456789.html",
+    "http://www.example.com/",
+)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from crawlflow.operators.explode import explode_codes
 from crawlflow.operators.routes import is_valid_at
@@ -16,17 +17,16 @@ def valid_by_city(subscriptions: DataFrame, now_ms: Column) -> DataFrame:
     return cities.withColumn("city", F.col("_city").try_cast("int")).drop("_city")
 
 
-def lists_by_city(by_city: DataFrame, id_column: str = "sub_id", buckets: int = 64) -> DataFrame:
-    """Whole subscriptions per city, in numbered lists (`list_no`) sorted by their fields.
+def city_entries(by_city: DataFrame, id_column: str = "sub_id", buckets: int = 64) -> DataFrame:
+    """A row per subscription of a city, with its list (`list_no`) and its place there (`list_pos`, from 1).
 
-    The list of a subscription follows from its id alone, so a hot city is dealt out
-    before the one shuffle, and the shape of the result does not depend on the size of
-    the data. All lists of a city together are its entry; `buckets` sets how long they
-    get. Codes that are no number make the entry of the null city.
+    The list follows from the subscription's id alone, so a hot city is dealt out before the one
+    shuffle; a list's places follow its subscriptions in the order of their fields. Nothing is gathered into an array: a
+    task sorts the lists it gets, on disk if they are long. All lists of a city together are its entry.
+    Codes that are no number make the entry of the null city.
     """
     digest = F.conv(F.substring(F.md5(F.col(id_column).cast("string")), 1, 8), 16, 10).cast("long")
-    whole = F.struct(*[c for c in by_city.columns if c != "city"])
-    placed = by_city.select("city", (digest % buckets).cast("int").alias("list_no"), whole.alias("subscription"))
-    return placed.groupBy("city", "list_no").agg(
-        F.sort_array(F.collect_list("subscription")).alias("subscriptions")
-    )
+    placed = by_city.withColumn("list_no", (digest % buckets).cast("int"))
+    fields = [c for c in by_city.columns if c != "city"]
+    within = Window.partitionBy("city", "list_no").orderBy(*fields)
+    return placed.withColumn("list_pos", F.row_number().over(within))

@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlflow.operators.cells import CELL_KEY, latest_cells, order_of, rows_of, rows_with_columns
+from crawlflow.operators.judged import DEAD_LETTERS
 
-DEAD_LETTERS = "_dead_letter"
 _FILE_SCHEMA = (
     "rowkey string, qualifier string, value string, put_ms long, "
     "src_partition int, src_offset long, src_topic string, "

@@ -70,18 +70,51 @@ def kafka_columns(raw: DataFrame) -> DataFrame:
     )
 
 
+def land_messages(messages: DataFrame, folder: str, rows_per_file: int, mode: str = "append") -> None:
+    """Write messages as files of at most `rows_per_file` rows, which a stream can then admit by rows."""
+    messages.select(*MESSAGE_COLUMNS).write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(folder)
+
+
+def files_for(rows: int, rows_per_file: int) -> int:
+    """How many files of at most `rows_per_file` rows hold no more than `rows`."""
+    if rows < rows_per_file:
+        raise ValueError(f"a file of {rows_per_file} rows does not fit {rows} rows")
+    return rows // rows_per_file
+
+
 def stream_message_files(
-    spark: SparkSession, folders: str | Iterable[str], max_files: int | None = None
+    spark: SparkSession,
+    folders: str | Iterable[str],
+    max_files: int | None = None,
+    *,
+    max_rows: int | None = None,
+    rows_per_file: int | None = None,
+    after_read: str | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """Stream of parquet message files from one folder per topic."""
+    """Stream of parquet message files from one folder per topic.
+
+    `max_rows` caps a batch by messages, as rate x interval x partitions does for Kafka; it needs
+    `rows_per_file`, the most that `land_messages` put in a file. With several folders each is a source
+    and gets an equal share of the cap. `after_read` is `delete` or `archive` (to the folder `archive`) for files
+    that a finished batch has read. Files that expire before they are read are left out; `Places` counts them.
+    """
+    paths = [folders] if isinstance(folders, str) else list(folders)
+    if max_rows is not None:
+        if rows_per_file is None:
+            raise ValueError("max_rows needs rows_per_file")
+        max_files = min(files_for(max_rows // len(paths), rows_per_file), max_files or max_rows)
 
     def one(folder: str) -> DataFrame:
         reader = spark.readStream.schema(MESSAGE_SCHEMA)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        return reader.parquet(folder)
+        if after_read:
+            reader = reader.option("cleanSource", after_read)
+        if archive:
+            reader = reader.option("sourceArchiveDir", archive)
+        return reader.option("ignoreMissingFiles", True).parquet(folder)
 
-    paths = [folders] if isinstance(folders, str) else list(folders)
     return reduce(DataFrame.unionByName, [one(path) for path in paths])
 
 

@@ -7,17 +7,20 @@ only after the write, and a batch that runs again replaces its own folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crawlflow.plans.registry import topic_names
 from crawlflow.plans.spec import Spec
 from crawlflow.session import checkpoint_root, configure
 from crawlflow.sources.keyed_store import KeyedStore, epoch_ms
+from crawlflow.sources.ledger import LedgerTable
 from crawlflow.sources.messages import KafkaTopics
+from crawlflow.streaming.gaps import Places
 
 
 def topics_of(spec: Spec, servers: str, prefix: str = "", *, partitions: int, **options) -> KafkaTopics:
@@ -73,25 +76,34 @@ def batch_writer(
     even_files: bool = False,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     max_records_per_file: int | None = None,
+    places: Places | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Function for `foreachBatch`: ingest one micro-batch, nothing for an empty one.
 
     The run is the stream's id, which its checkpoint keeps over restarts.
     `prepare` turns the rows of the source into messages, such as `from_lines`.
+    `places` looks for messages that expired before the batch. A spec with `for_batch`
+    is asked for the spec of each batch, as its dimensions may have changed.
     """
     clock = now or (lambda: datetime.now(timezone.utc))
 
     def write(messages: DataFrame, batch_id: int) -> None:
         if not messages.isEmpty():
             batch = prepare(messages) if prepare else messages
-            run = messages.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-            run_batch(
-                spec, batch, store, clock(), batch_id, zone, max_records_per_file, even_files, run=run, replay=True
-            )
+            run = stream_run(messages)
+            if places:
+                places.check(batch, batch_id)
+            own = spec.for_batch(run, batch_id) if hasattr(spec, "for_batch") else spec
+            run_batch(own, batch, store, clock(), batch_id, zone, max_records_per_file, even_files, run=run, replay=True)
 
     return write
 
 
+def stream_run(batch: DataFrame) -> str:
+    """The id that a stream's checkpoint keeps, seen from inside `foreachBatch`."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def run_stream(
     spec: Spec,
     messages: DataFrame,
@@ -103,17 +115,19 @@ def run_stream(
     even_files: bool = True,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     max_records_per_file: int | None = None,
+    places: Places | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Start the job on a stream, every `spec.interval` seconds or once over all there is.
 
     The checkpoint lies in the cluster's checkpoint folder unless one is given.
     """
     spark = configure(messages.sparkSession)
-    location = checkpoint or f"{checkpoint_root(spark)}/{spec.name}"
+    location = checkpoint or f"{checkpoint_root(spark)}/{name or spec.name}"
     writer = (
-        messages.writeStream.queryName(spec.name)
+        messages.writeStream.queryName(name or spec.name)
         .option("checkpointLocation", location)
-        .foreachBatch(batch_writer(spec, store, zone, now, even_files, prepare, max_records_per_file))
+        .foreachBatch(batch_writer(spec, store, zone, now, even_files, prepare, max_records_per_file, places))
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -122,6 +136,46 @@ def run_stream(
     return writer.start()
 
 
+def run_topics(
+    spec: Spec, sources: Mapping[str, DataFrame], store: KeyedStore, checkpoint: str | None = None, **options
+) -> dict[str, StreamingQuery]:
+    """Start the job on several topics, each a stream with its own checkpoint, all into one store.
+
+    A checkpoint holds a fixed set of sources. With one a topic, topics can be added to a job that has run, or
+    left out of it for a while, and the others go on where they were.
+    """
+    spark = configure(store.spark)
+    root = checkpoint or f"{checkpoint_root(spark)}/{spec.name}"
+    return {
+        topic: run_stream(spec, messages, store, f"{root}/{topic}", name=f"{spec.name}-{topic}", **options)
+        for topic, messages in sources.items()
+    }
+
+
+def run_inserts(
+    rows: DataFrame,
+    judge: Callable[[DataFrame], DataFrame],
+    table: LedgerTable,
+    checkpoint: str,
+    seconds: int = 5,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Judge every micro-batch and insert its rows and rejects into a plain table, exactly once.
+
+    `judge` gives judged rows, such as `judged_access_records`. What a batch read is counted as it passes.
+    """
+
+    def insert(df: DataFrame, batch_id: int) -> None:
+        if not df.isEmpty():
+            read = Observation()
+            table.insert(judge(df.observe(read, F.count(F.lit(1)).alias("n_read"))), stream_run(df), batch_id, read)
+
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(insert)
+    if available_now:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{seconds} seconds").start()
+
+
 def run_rows(
     rows: DataFrame,
     transform: Callable[[DataFrame], DataFrame],
@@ -132,8 +186,8 @@ def run_rows(
 ) -> StreamingQuery:
     """Transform every micro-batch and hand it to a table writer, such as `write_jdbc`.
 
-    A plain table has no batch folders, so a batch that fails after its write is
-    written again; the writer decides what a repeated row means.
+    For tables outside of Spark's reach, such as a database: a batch that fails after its write
+    is written again, and the writer decides what a repeated row means. `run_inserts` inserts once.
     """
 
     def batch(df: DataFrame, batch_id: int) -> None:

@@ -11,9 +11,9 @@ from crawlflow.operators.explode import explode_codes
 from crawlflow.operators.lookups import dimension_lookup, fill_from_dimension
 from crawlflow.plans import registry as jobs
 from crawlflow.plans.lines import line_cells, person_cells
-from crawlflow.plans.rekey import cells_of_rows, rekeyed_rows
-from crawlflow.plans.subscriptions import lists_by_city, valid_by_city
-from crawlflow.plans.website import document_cells, website_documents
+from crawlflow.plans.rekey import cells_of_rows, judged_rekeyed_rows, rekeyed_rows
+from crawlflow.plans.subscriptions import city_entries, valid_by_city
+from crawlflow.plans.website import document_cells, judged_documents, website_documents
 from crawlflow.sources.keyed_store import DEAD_LETTERS
 from crawlflow.sources.messages import from_lines, from_rows
 
@@ -287,7 +287,11 @@ def test_rekey(spark):
     samples = [full, {**full, "publishdate": "d", "gathertime": "x"}, {**full, "publishtime": None}, {**full, "url": None}]
     names = (*fixed.REKEY_FIELDS, "publishdate", "publishtime", "snapshot")
     df = spark.createDataFrame([tuple(s.get(n) for n in names) for s in samples], ", ".join(f"{n} string" for n in names))
-    rows = rows_by_key(cells_of_rows(rekeyed_rows(df, zone="UTC"), "paper"))
+    assert rekeyed_rows(df, zone="UTC").count() == 2
+    rows = rows_by_key(cells_of_rows(judged_rekeyed_rows(df, zone="UTC"), "paper", "newspaper", NOW))
+    dead = {r["c1:errmsg"]: json.loads(r["c1:record"]) for (table, _), r in rows.items() if table == "_dead_letter"}
+    assert set(dead) == {"no_url", "no_publish_time"} and dead["no_publish_time"]["url"] == "abc"
+    rows = {k: r for k, r in rows.items() if k[0] == "paper"}
     assert set(rows) == {("paper", "4952883123889572249_1479988622000"), ("paper", "4952883123889572249_0")}
     row = rows["paper", "4952883123889572249_0"]
     assert row["c1:publishtime"] == "d" and row["c1:urlhash"] == "4952883123889572249"
@@ -325,36 +329,41 @@ def test_lookup_result_is_the_same_without_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_subscription_lists_are_bounded_and_whole(spark):
+def test_city_entries_are_whole_and_dealt_out(spark):
     subs = spark.range(5000).selectExpr(
         "id as sub_id", "if(id % 3 = 0, '1|2', '1||3') as city_code", "id as start_time", "id + 9000 as end_time"
     )
-    cities = valid_by_city(subs, F.lit(4500))
-    lists = lists_by_city(cities, buckets=32).collect()
-    got = defaultdict(list)
-    for r in lists:
-        assert len(r.subscriptions) < 250
-        assert all(s.end_time == s.start_time + 9000 and s.city_code for s in r.subscriptions)
-        got[r.city] += [s.sub_id for s in r.subscriptions]
+    rows = city_entries(valid_by_city(subs, F.lit(4500)), buckets=32).collect()
+    got, lists = defaultdict(list), defaultdict(list)
+    for r in rows:
+        assert r.end_time == r.start_time + 9000 and r.city_code
+        got[r.city].append(r.sub_id)
+        lists[r.city, r.list_no].append((r.list_pos, r.sub_id))
     valid = range(0, 4500)
     assert {k: sorted(v) for k, v in got.items()} == {
         1: list(valid),
         2: [i for i in valid if i % 3 == 0],
         3: [i for i in valid if i % 3],
     }
+    for entries in lists.values():
+        entries.sort()
+        assert [pos for pos, _ in entries] == list(range(1, len(entries) + 1)) and len(entries) < 250
+        assert [sub for _, sub in entries] == sorted(sub for _, sub in entries)
 
 
-def test_subscription_lists_keep_codes_that_are_no_number(spark):
+def test_city_entries_keep_codes_that_are_no_number(spark):
     subs = spark.createDataFrame([(1, "x|2", 0, 9), (2, "y", 0, 9)], "sub_id long, city_code string, start_time long, end_time long")
-    lists = lists_by_city(valid_by_city(subs, F.lit(5))).collect()
-    got = sorted((r.city or 0, s.sub_id) for r in lists for s in r.subscriptions)
+    got = sorted((r.city or 0, r.sub_id) for r in city_entries(valid_by_city(subs, F.lit(5))).collect())
     assert got == [(0, 1), (0, 2), (2, 1)]
 
 
-def test_subscription_lists_take_one_shuffle(spark):
-    subs = spark.createDataFrame([(1, "1", 0, 9)], "sub_id long, city_code string, start_time long, end_time long")
-    plan = lists_by_city(valid_by_city(subs, F.lit(5)))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+def test_a_hot_city_is_many_tasks_and_no_array(spark):
+    subs = spark.range(20_000).selectExpr("id as sub_id", "if(id % 3 = 0, '7', string(id % 500)) as city_code", "0L as start_time", "9L as end_time")
+    entries = city_entries(valid_by_city(subs, F.lit(5)))
+    plan = entries._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan and "collect_" not in plan
+    sizes = entries.where("city = 7").groupBy("list_no").count().collect()
+    assert len(sizes) == 64 and max(r["count"] for r in sizes) < 3 * 20_000 / 3 / 64
 
 
 def test_codes(spark):
@@ -385,8 +394,9 @@ def test_website_documents(spark):
     two = by_url["http://b.am/2"]
     assert (two.language, two.group_id, two.gathertime, two.domain_1) == ("ru", "7", "2016-11-24 00:00:00", "b.am")
     assert by_url["http://d.com/4"].language == "en"
-    cells = rows_by_key(document_cells(documents))
-    assert ("souye/sy", "http://c.com/3") in cells and len(cells) == 4
+    cells = rows_by_key(document_cells(judged_documents(messages, sites, languages), NOW))
+    dead = [r["c1:errmsg"] for (table, _), r in cells.items() if table == "_dead_letter"]
+    assert ("souye/sy", "http://c.com/3") in cells and len(cells) == 7 and dead == ["no_index"] * 3
 
 
 def test_lines_become_messages(spark, tmp_path):
