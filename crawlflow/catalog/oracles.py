@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from crawlflow import fixed_values as fixed
 from crawlflow.catalog.hash_sql import xxh64_ctes
+from crawlflow.catalog.messages import FIELDS
 
 INGEST_MS = "1706776215000"
 INGEST_TEXT = "2024-02-01 08:30:15"
@@ -503,6 +504,23 @@ _REASONS = """
     WHEN urlhash IS NULL THEN 'no_key' WHEN urlhash = '' THEN 'blank_key' END"""
 
 
+# Values of the message texts where they differ from what the jobs read out of them.
+_SENT = {
+    "urlhash": "CASE WHEN c NOT IN (14, 17) THEN urlhash END",
+    "click": "CASE WHEN p % 8 = 4 THEN '12' END",
+    "tendency ": "tendency_spaced",
+}
+#: The text of a page message: its fields in order, without those that have no value.
+_JSON = (
+    "array_to_string(list_filter(["
+    + ", ".join(f"""CASE WHEN {_SENT.get(name, name)} IS NOT NULL THEN '"{name}":' || CAST(to_json({_SENT.get(name, name)}) AS VARCHAR) END""" for name in FIELDS)
+    + "], lambda x: x IS NOT NULL), ',') || '}'"
+)
+_OPENING = """'{' || CASE WHEN p % 8 = 3 THEN '"click":null,' ELSE '' END || CASE WHEN c = 17 THEN '"urlhash":null,' ELSE '' END
+    || CASE WHEN c = 13 THEN '"urlhash":"first",' ELSE '' END"""
+_RECORD = f"""CASE c WHEN 11 THEN 'not json ' || t WHEN 12 THEN '[' || {_OPENING} || {_JSON} || ']' ELSE {_OPENING} || {_JSON} END"""
+
+
 def _latest_events(where: str = "TRUE") -> str:
     return f"""SELECT CAST(user_id AS VARCHAR) AS rowkey, event_type AS qualifier,
       arg_max(CAST(CAST(value * 100 AS BIGINT) AS VARCHAR), event_id) AS value
@@ -585,6 +603,9 @@ def _stored_sql(queries: dict[str, str]) -> dict[str, str]:
         "expired_files_gaps": """SELECT 'webpage' AS topic, 0 AS partition, count(*) // 3 AS first, 2 * count(*) // 3 - 1 AS last,
             2 * count(*) // 3 - count(*) // 3 AS messages FROM pages""",
         "topics_added": ingest_sql()["zhimei_mix"],
+        "text_files_forum": ingest_sql()["forum"],
+        "text_stream_forum": ingest_sql()["forum"],
+        "field_list_weibouser": ingest_sql()["weibouser"],
         "capped_stream": ingest_sql()["forum"],
         "website_dimension_change": f"""SELECT idx, url, CASE WHEN p % 2 = 0 AND p >= (SELECT count(*) // 2 FROM pages) AND site_name <> ''
             THEN site_name || '-2' ELSE site_name END AS site_name FROM ({stored})""",
@@ -697,9 +718,9 @@ def oracle_sql() -> dict[str, str]:
             content, coalesce(gathertime, '') AS gathertime, inserttime, site_id, site_name, site_url, title, url,
             coalesce(publishdate, publishtime) AS publishtime, {_group('site_id', 'url', '5')} AS group_id,
             snapshot, '' AS author, '' AS sim_id FROM msg JOIN hashed ON s = url WHERE NOT unreadable""",
-        "dead_letters": f"""WITH {MESSAGES}, judged AS (SELECT p, {_REASONS} AS errmsg FROM msg)
+        "dead_letters": f"""WITH {MESSAGES}, judged AS (SELECT p, {_REASONS} AS errmsg, {_RECORD} AS record FROM msg)
             SELECT 'webpage_' || ((p - CASE WHEN p % 10 = 9 THEN 1 ELSE 0 END) % 4) || '_' || p AS rowkey, errmsg, 'webpage' AS topic,
-              '{INGEST_TEXT}' AS time FROM judged WHERE errmsg IS NOT NULL""",
+              '{INGEST_TEXT}' AS time, record FROM judged WHERE errmsg IS NOT NULL""",
         "dead_letter_summary": f"""WITH {MESSAGES}, judged AS (SELECT {_REASONS} AS errmsg FROM msg)
             SELECT errmsg, count(*) AS n FROM judged WHERE errmsg IS NOT NULL GROUP BY 1""",
         "website_documents": _website(),

@@ -395,7 +395,7 @@ def range_scan(spark: SparkSession, sf: str) -> DataFrame:
 def cells_explode(spark: SparkSession, sf: str) -> DataFrame:
     """Padded records as cells in two families, keyed by the sent hash."""
     spec = WEIBO.with_options(key=lambda r: r.get("urlhash"), derived=())
-    return _good_cells(spec.cells(page_messages(spark, sf), INGEST_TIME, ZONE))
+    return good_cells(spec.cells(page_messages(spark, sf), INGEST_TIME, ZONE))
 
 
 def rekey_projection(spark: SparkSession, sf: str) -> DataFrame:
@@ -429,7 +429,7 @@ def reply_explode_all(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Jobs ---------------------------------------------------------------------------------------------
-def _good_cells(cells: DataFrame) -> DataFrame:
+def good_cells(cells: DataFrame) -> DataFrame:
     return cells.where(F.col("table") != DEAD_LETTERS).select(
         F.col("table").alias("target"), "rowkey", "family", "qualifier", "value"
     )
@@ -440,21 +440,21 @@ def ingest(name: str) -> Query:
     messages = reply_messages if name.startswith("replies") and "plain" not in name else page_messages
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return _good_cells(spec.cells(messages(spark, sf), INGEST_TIME, ZONE))
+        return good_cells(spec.cells(messages(spark, sf), INGEST_TIME, ZONE))
 
     return run
 
 
 def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """Dead letters with the text of their record."""
     cells = WEBPAGE.cells(page_messages(spark, sf, "webpage"), INGEST_TIME, ZONE)
-    dead = cells.where((F.col("table") == DEAD_LETTERS) & (F.col("qualifier") != "record"))
-    return rows_with_columns(dead, ["errmsg", "topic", "time"]).drop("table")
+    dead = cells.where(F.col("table") == DEAD_LETTERS)
+    return rows_with_columns(dead, ["errmsg", "topic", "time", "record"]).drop("table")
 
 
 def dead_letter_summary(spark: SparkSession, sf: str) -> DataFrame:
-    cells = WEBPAGE.cells(page_messages(spark, sf), INGEST_TIME, ZONE)
-    reasons = cells.where((F.col("table") == DEAD_LETTERS) & (F.col("qualifier") == "errmsg"))
-    return reasons.groupBy(F.col("value").alias("errmsg")).agg(F.count(F.lit(1)).alias("n"))
+    reasons = WEBPAGE.reject_reasons(page_messages(spark, sf), INGEST_TIME, ZONE)
+    return reasons.groupBy(F.col("reason").alias("errmsg")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def website_documents_query(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,6 +10,7 @@ from crawlflow.catalog.queries import (
     ZONE,
     Query,
     access_lines,
+    good_cells,
     language_dimension,
     page_records,
     scratch,
@@ -20,14 +21,15 @@ from crawlflow.operators.cells import explode_fields, family_of, latest_cells
 from crawlflow.operators.records import text_map
 from crawlflow.plans.access_log import RECORD_SCHEMA, judged_access_records
 from crawlflow.plans.lines import CELL_SCHEMA, judged_line_cells, judged_person_cells
-from crawlflow.plans.registry import FORUM, WEBPAGE_HOME, ZHIMEI_MIX
+from crawlflow.plans.registry import FORUM, WEBPAGE_HOME, WEIBOUSER, ZHIMEI_MIX
 from crawlflow.plans.rekey import rekey_table
 from crawlflow.plans.website import LANGUAGE_SCHEMA, SITE_SCHEMA, WebsiteSpec
 from crawlflow.sources.dimensions import VersionedDimension
 from crawlflow.sources.keyed_store import DEAD_LETTERS, KeyedStore, epoch_ms
 from crawlflow.sources.ledger import LedgerTable
-from crawlflow.sources.messages import land_messages, stream_message_files, stream_text
+from crawlflow.sources.messages import from_lines, land_messages, read_text_messages, stream_message_files, stream_text
 from crawlflow.sources.shared_files import SharedFiles
+from crawlflow.sources.tables import read_field_list
 from crawlflow.streaming.gaps import Places
 from crawlflow.streaming.runs import run_batch, run_inserts, run_stream, run_topics
 
@@ -150,6 +152,44 @@ def website_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return _website_store(spark, sf).columns(DEAD_LETTERS, ["errmsg", "topic"]).drop("table")
 
 
+# Files ------------------------------------------------------------------------------------------------
+def _text_messages(spark: SparkSession, sf: str, name: str) -> str:
+    """A folder of text files with a message a line."""
+    folder = f"{scratch(spark, name)}/lines"
+    page_messages(spark, sf).select("value").write.text(folder)
+    return folder
+
+
+def _cells_in(store: KeyedStore, name: str) -> DataFrame:
+    return store.cells(name).select(F.col("table").alias("target"), "rowkey", "family", "qualifier", "value")
+
+
+def text_files_forum(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored cells of the messages of text files."""
+    store = KeyedStore(spark, scratch(spark, "text"))
+    messages = read_text_messages(spark, _text_messages(spark, sf, "text"), "forum")
+    run_batch(FORUM, messages, store, INGEST_TIME, zone=ZONE, run="load")
+    return _cells_in(store, "forum")
+
+
+def text_stream_forum(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored cells of a folder of text files that a stream reads."""
+    folder = scratch(spark, "lines")
+    store = KeyedStore(spark, f"{folder}/store")
+    lines = stream_text(spark, _text_messages(spark, sf, "lines"), max_files=2)
+    options = {"available_now": True, "zone": ZONE, "now": lambda: INGEST_TIME, "prepare": lambda df: from_lines(df, "forum")}
+    run_stream(FORUM, lines, store, f"{folder}/checkpoint", **options).awaitTermination()
+    return _cells_in(store, "forum")
+
+
+def field_list_weibouser(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of a job whose fields come from a file with a name a line."""
+    folder = f"{scratch(spark, 'fields')}/names"
+    spark.createDataFrame([(name,) for name in WEIBOUSER.fields], "name string").write.text(folder)
+    spec = WEIBOUSER.with_options(fields=read_field_list(spark, folder))
+    return good_cells(spec.cells(page_messages(spark, sf), INGEST_TIME, ZONE))
+
+
 # Streams that restart -----------------------------------------------------------------------------------
 def _numbered(spark: SparkSession, sf: str, topic: str) -> tuple[DataFrame, int]:
     """Page messages of one partition, their offsets without holes; and their number."""
@@ -283,6 +323,9 @@ def queries() -> dict[str, Query]:
             rekey_rejects,
             website_stored,
             website_rejects,
+            text_files_forum,
+            text_stream_forum,
+            field_list_weibouser,
             expired_files_cells,
             expired_files_gaps,
             topics_added,

@@ -140,6 +140,29 @@ class IngestSpec:
 
     def cells(self, messages: DataFrame, ingest_time: datetime, zone: str | None = None) -> DataFrame:
         """Cells of the messages, dead letters included."""
+        judged, stored, had_snapshot = self._judged(messages, ingest_time, zone)
+        good = F.col("_reason").isNull()
+        key = row_key(F.col("_key"), F.col("_time")) if self.key_time else F.col("_key")
+        out = judged.select(
+            F.when(good, F.col("_table")).otherwise(DEAD_LETTERS).alias("table"),
+            F.when(good, key).otherwise(_dead_key()).alias("rowkey"),
+            good.alias("_good"),
+            had_snapshot.alias("_had_snapshot"),
+            F.when(good, stored).otherwise(_dead_fields()).alias("fields"),
+            F.col("partition").alias("src_partition"),
+            F.col("offset").alias("src_offset"),
+            F.col("topic").alias("src_topic"),
+        )
+        return self._finish(explode_fields(held(out), drop=self.repairs))
+
+    def reject_reasons(self, messages: DataFrame, ingest_time: datetime, zone: str | None = None) -> DataFrame:
+        """`reason` of every message that cannot be stored, without making its cells."""
+        judged = self._judged(messages, ingest_time, zone)[0]
+        return held(judged.select(F.col("_reason").alias("reason"))).where(F.col("reason").isNotNull())
+
+    def _judged(self, messages: DataFrame, ingest_time: datetime, zone: str | None) -> tuple[DataFrame, Column, Column]:
+        """Messages with `_key`, `_time`, `_table`, `_reason` and the derived fields; the map of what is
+        stored, and whether the message had a snapshot."""
         record = Record(zone)
         keys = {
             "_key": self.key(record),
@@ -158,19 +181,7 @@ class IngestSpec:
             .withColumn("_table", route)
             .withColumn("_reason", reason)
         )
-        good = F.col("_reason").isNull()
-        key = row_key(F.col("_key"), F.col("_time")) if self.key_time else F.col("_key")
-        out = judged.select(
-            F.when(good, F.col("_table")).otherwise(DEAD_LETTERS).alias("table"),
-            F.when(good, key).otherwise(_dead_key()).alias("rowkey"),
-            good.alias("_good"),
-            had_snapshot.alias("_had_snapshot"),
-            F.when(good, stored).otherwise(_dead_fields()).alias("fields"),
-            F.col("partition").alias("src_partition"),
-            F.col("offset").alias("src_offset"),
-            F.col("topic").alias("src_topic"),
-        )
-        return self._finish(explode_fields(held(out), drop=self.repairs))
+        return judged, stored, had_snapshot
 
     def _reason(self, record: Record) -> Column:
         """Why a message cannot be stored; null when it can."""

@@ -18,12 +18,12 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlflow.operators.cells import CELL_KEY, latest_cells, order_of, rows_of, rows_with_columns
 from crawlflow.operators.judged import DEAD_LETTERS
+from crawlflow.sources.shared_files import SharedFiles
 
 _FILE_SCHEMA = (
     "rowkey string, qualifier string, value string, put_ms long, "
@@ -128,11 +128,9 @@ class KeyedStore:
         return reader.parquet(pattern)
 
     def _readable(self, part: str, table: str, family: str = "*") -> bool:
-        try:
-            self._read(part, table, family)
-        except AnalysisException:
-            return False
-        return True
+        """Whether any batch wrote to the families: one listing of folders, no read."""
+        pattern = f"{self.root}/{part}/writer=*/run=*/batch_id=*/table={folder_name(table)}/family={family}"
+        return bool(SharedFiles(self.spark, self.root).glob(pattern))
 
     def _scan(
         self,

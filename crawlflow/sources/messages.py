@@ -7,7 +7,7 @@ come from.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +47,10 @@ class KafkaTopics:
             options["maxOffsetsPerTrigger"] = str(per_batch)
         return {**options, **self.extra}
 
+    def only(self, topic: str) -> KafkaTopics:
+        """The same subscription of one of its topics, with an equal share of the rate."""
+        return replace(self, topics=[topic], partitions=max(1, self.partitions // len(self.topics)))
+
     def read_stream(self, spark: SparkSession) -> DataFrame:
         """Streaming messages; needs the Kafka connector on the class path."""
         return kafka_columns(spark.readStream.format("kafka").options(**self.options()).load())
