@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from crawlflow.llm.pieces import PieceEncoder, portions
+from crawlflow.llm.pieces import PieceEncoder, portions, require_pattern
 
 # The pattern of pre-tokens of the vocabulary, with white space spelt out.
 PRETOKEN = (
@@ -50,6 +50,7 @@ def byte_signs() -> list[str]:
 
 class PairIndexBpe:
     def __init__(self, path: str):
+        require_pattern(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab: dict[str, int] = spec["model"]["vocab"]

@@ -7,18 +7,39 @@ recur, so each worker remembers their ids.
 
 from __future__ import annotations
 
+import itertools
+import json
+from collections import defaultdict
 from collections.abc import Callable, Iterable
 
+import numpy as np
 import regex
 
 CUT = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
 # White space other than the space and the line feed.
 RARE = regex.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+RARE_ASCII = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+#: What the tokenizer file must say for the cut to be right.
+PATTERN = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+
+
+def require_pattern(path: str) -> None:
+    """Refuse a tokenizer file whose pieces are others than those that the cut was made for."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    before = spec.get("pre_tokenizer") or {}
+    unusual = {key: before.get(key) for key, value in PATTERN.items() if before.get(key) != value}
+    if unusual or spec.get("normalizer") or spec.get("post_processor"):
+        raise ValueError(f"{path}: no plain byte-level file ({unusual or 'it has a normalizer or post-processor'})")
 
 
 def cut(text: str) -> list[str]:
     """Pieces of a text; all but the first stand for themselves after one space."""
-    if "  " in text or " \n" in text or "\n " in text or RARE.search(text):
+    if text.isascii():
+        rare = any(map(text.__contains__, RARE_ASCII))
+    else:
+        rare = RARE.search(text)
+    if rare or "  " in text or " \n" in text or "\n " in text:
         return CUT.split(text)
     return text.split(" ")
 
@@ -61,6 +82,63 @@ class PieceEncoder:
         return coded
 
 
+class PieceTable:
+    """Ids of texts as bytes, like `PieceEncoder`, by one look-up a piece.
+
+    Each piece known so far has a row: a run of the flat array of ids. A portion of texts becomes row numbers
+    and these become ids in one step, without an object a piece. Pieces that are long or hold a space lose their
+    number again.
+    """
+
+    def __init__(
+        self,
+        encode_plain: Callable[[list[str]], Iterable[bytes]],
+        encode: Callable[[list[str]], Iterable[bytes]],
+        remembered: int = 1_000_000,
+        longest: int = 64,
+    ) -> None:
+        self.encode_plain, self.encode = encode_plain, encode
+        self.remembered, self.longest = remembered, longest
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        self.ids = np.zeros(0, dtype="<u4")
+        self.ends = np.zeros(1, dtype=np.int64)
+
+    def _learn(self, firsts: list[str]) -> list[bytes]:
+        """Ids of the pieces that have no row yet, and of the texts' first pieces, which are given back."""
+        count = len(self.number) - self.numbered
+        new = list(itertools.islice(reversed(self.number), count))[::-1]
+        plain = [0 < len(p) <= self.longest and " " not in p for p in new]
+        coded = iter(self.encode_plain(list(itertools.compress(new, plain))))
+        other = [p for p, ok in zip(new, plain, strict=True) if not ok]
+        found = list(self.encode([" " + p for p in other] + firsts))
+        rest = iter(found[: len(other)])
+        rows = [next(coded) if ok else next(rest) for ok in plain]
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(rows), dtype="<u4")])
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows)) // 4
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
+        for p in other:
+            del self.number[p]
+        return found[len(other) :]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if len(self.number) > self.remembered or len(self.ids) > 8 * self.remembered:
+            self._forget()
+        self.numbered = len(self.number)
+        pieces_of = [cut(text) for text in texts]
+        number = self.number.__getitem__
+        rows_of = [np.fromiter(map(number, itertools.islice(pieces, 1, None)), np.int64, len(pieces) - 1) for pieces in pieces_of]
+        firsts = self._learn([pieces[0] for pieces in pieces_of])
+        rows = np.concatenate(rows_of) if rows_of else np.zeros(0, np.int64)
+        starts, lengths = self.ends[rows], self.ends[rows + 1] - self.ends[rows]
+        ends = np.cumsum(lengths)
+        ids = self.ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        at = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(r) for r in rows_of], dtype=np.int64)])]
+        return [first + ids[a:b].tobytes() for first, a, b in zip(firsts, at[:-1], at[1:], strict=True)]
+
+
 def portions(texts: list[str], most: int = 8_000_000) -> Iterable[tuple[int, int]]:
     """Ranges of texts of about `most` signs in all; a longer text is one of its own."""
     start = size = 0

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crawlflow.llm.pieces import PieceEncoder, portions
+from crawlflow.llm.pieces import PieceTable, portions, require_pattern
 from crawlflow.llm.shared import pinned, scratch_root, text_of
 
 LETTERS = regex.compile(r"\p{L}*")
@@ -43,13 +43,14 @@ BLOCK_SCHEMA = (
 
 
 @lru_cache(maxsize=2)
-def library_encoder(path: str) -> PieceEncoder:
+def library_encoder(path: str) -> PieceTable:
     """Ids by the tokenizers library, 32 bits each.
 
     Pieces that begin with letters end a token after them, so that the distinct letter runs and the
     distinct rests are encoded alone; runs go to the library in rows, whose ids are cut where a space
-    begins one.
+    begins one. A file of another pattern than the cut's is refused.
     """
+    require_pattern(path)
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -76,14 +77,14 @@ def library_encoder(path: str) -> PieceEncoder:
         return out
 
     def encode_plain(pieces: list[str]) -> list[bytes]:
-        runs = [LETTERS.match(p).group() for p in pieces]
+        runs = [p if p.isalpha() else LETTERS.match(p).group() for p in pieces]
         rests = [p[len(run) :] if run else " " + p for p, run in zip(pieces, runs, strict=True)]
         distinct_runs, distinct_rests = list(set(runs) - {""}), list(set(rests))
         of_run = dict(zip(distinct_runs, encode_runs(distinct_runs), strict=True)) | {"": b""}
         of_rest = dict(zip(distinct_rests, encode(distinct_rests), strict=True))
         return [of_run[run] + of_rest[rest] for run, rest in zip(runs, rests, strict=True)]
 
-    return PieceEncoder(encode_plain, encode, remembered=1_200_000)
+    return PieceTable(encode_plain, encode)
 
 
 def to_planes(ids: np.ndarray, kind: str, level: int = 3) -> list[bytes]:
@@ -131,7 +132,7 @@ def _blocks(path: str, end_id: int, block: int, kind: str):
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for i, j in portions(texts):
+            for i, j in portions(texts, 3_000_000):
                 for doc_id, coded in zip(doc_ids[i:j], library_encoder(path)(texts[i:j]), strict=True):
                     data = coded + end
                     index.append((doc_id, done + size, len(data) // 4))
