@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from crawlflow.llm import exact_dedup, license_scan, line_dedup, quality_rules, sharding
 
@@ -354,3 +355,29 @@ def test_line_dedup_names_its_counts(spark):
     docs = spark.createDataFrame([(1, "a\nb\nc\nd", 5, "x"), (2, "a\nb\nc", 6, "y")], "doc_id long, text string, n_lines int, of_id string")
     got = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
     assert [(got[i].n_lines, got[i].n_removed, got[i].of_id, got[i].text) for i in (1, 2)] == [(4, 0, "x", "a\nb\nc\nd"), (3, 3, "y", "")]
+
+
+@pytest.mark.parametrize("size", [4096, 64 << 20])
+def test_exact_dedup_by_hash_ranges(spark, edges, size):
+    """A filter too large for its bound is cut into ranges; the results are those of one."""
+    more = spark.range(6000).selectExpr("id + 1000 as doc_id", "concat('text ', id % 5000) as text")
+    docs = edges.select("doc_id", "text").union(more).union(more.limit(10))
+    assert exact_dedup.hash_ranges(docs.count(), size) == (4 if size == 4096 else 1)
+    whole = Counter(map(tuple, exact_dedup.memberships(docs).collect()))
+    assert Counter(map(tuple, exact_dedup.memberships(docs, size).collect())) == whole
+    kept = Counter(r.doc_id for r in exact_dedup.exact_dedup(docs, size).collect())
+    assert kept == Counter({m[0]: 1 for m in whole if m[3]}) and len(kept) == len({m[4] for m in whole})
+
+
+def test_share_of_lone_rows_that_shuffle_does_not_grow(spark):
+    """At a bound far below what the rows need, as many lone rows in a thousand pass for copies at every size."""
+    shares = []
+    for n in (10_000, 80_000):
+        hashes = spark.range(n).select(exact_dedup.text_hash(F.col("id")).alias("digest"))
+        ranges = exact_dedup.hash_ranges(n, 16_384)
+        sent = 0
+        for k in (0, ranges - 1):
+            mine = exact_dedup.in_range(hashes, k, ranges)
+            sent += exact_dedup.possibly_repeated(mine, *exact_dedup.repeat_filter(mine, 16_384)).filter("maybe").count() * ranges / 2
+        shares.append(sent / n)
+    assert max(shares) < 0.03
