@@ -23,7 +23,9 @@ the driver. Comparisons are dealt out by leader in chunks, so a leader of very m
 
 Defined results: a null text counts as empty; texts without words are one class; texts of one to four
 words are one shingle. doc_id names a document: rows that repeat it are in one class and stay or go
-together. A null doc_id is in no class and stays. A class is named by its smallest doc_id, which stays.
+together, with different texts as well; then each text is compared, and the classes of the texts of a doc_id are one.
+A null doc_id is in no class and stays. A class is named by its smallest doc_id, which stays. The result has
+a row for each row of the input.
 """
 
 from __future__ import annotations
@@ -242,10 +244,43 @@ def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     return pinned(classed.join(several, F.col("key") == F.col("open")).drop("open"))
 
 
-def near_classes(
+def near_classes(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, class_id, class_size and kept of every row; the options are those of `classes_of_nodes`."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    several = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min(text).alias("low"), F.max(text).alias("high"))
+    several = pinned(several.filter("low < high").select(F.col("doc_id").alias("of")))
+    if several.isEmpty():
+        return classes_of_nodes(rows, **options)
+    # Each text of a doc_id with several is a node of its own, under a negative number.
+    number = -1 - F.xxhash64("doc_id", text).bitwiseAND(F.lit((1 << 62) - 1))
+    placed = pinned(
+        rows.join(several, F.col("doc_id") == F.col("of"), "left").select(
+            F.when(F.col("of").isNull(), F.col("doc_id")).otherwise(number).alias("node"), "doc_id", "text"
+        )
+    )
+    classed = classes_of_nodes(placed.select(F.col("node").alias("doc_id"), "text"), **options)
+    of_node = classed.filter("doc_id is not null").groupBy(F.col("doc_id").alias("named")).agg(F.min("class_id").alias("class"))
+    told = pinned(placed.drop("text").join(of_node, F.col("node") == F.col("named"), "left").select("doc_id", "class"))
+    met = told.join(several, F.col("doc_id") == F.col("of"), "left_semi").groupBy("doc_id").agg(F.min("class").alias("low"))
+    links = told.join(met.withColumnRenamed("doc_id", "of"), F.col("doc_id") == F.col("of")).filter("class <> low")
+    labels = classes_of(pinned(links.select(F.col("low").alias("lead"), F.col("class").alias("member")).distinct()))
+    joined = told.join(labels.withColumnRenamed("doc_id", "of"), F.col("class") == F.col("of"), "left")
+    joined = pinned(joined.select("doc_id", F.coalesce("label", "class").alias("label")))
+    names = joined.filter("label is not null").groupBy(F.col("label").alias("of"))
+    names = names.agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    return joined.join(names, F.col("label") == F.col("of"), "left").select(
+        "doc_id",
+        "class_id",
+        F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
+        F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"),
+    )
+
+
+def classes_of_nodes(
     docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int = 5, passes: int = 1, hot: int = 16
 ) -> DataFrame:
-    """doc_id, class_id, class_size and kept of every row."""
+    """doc_id, class_id, class_size and kept of every row of a table where rows that repeat a doc_id have one text."""
     sigs = pinned(signed(docs, bands, rows))
     known = sigs.filter("doc_id is not null")
     groups = pinned(

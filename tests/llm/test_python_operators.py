@@ -1,6 +1,7 @@
 """BPE, token files, HTML and near dedup against the library, round trips and brute force."""
 
 import hashlib
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -11,6 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from crawlflow.llm import bpe, html_text, near_dedup, token_files
+from crawlflow.llm.pieces import PieceTable
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -236,3 +238,45 @@ def test_malformed_pages_do_not_fail(spark, sf):
             at = rng.randrange(len(page))
             assert isinstance(html_text.extract(page[:at] + rng.choice(odd) + page[at + rng.randrange(3) :]), str)
             assert isinstance(html_text.extract(page[:at]), str)
+
+
+def test_piece_table_gives_the_librarys_ids(library, documents):
+    """Over several portions, with pieces learnt, forgotten and too long to keep."""
+    encoder = token_files.library_encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    table = PieceTable(encoder.encode_plain, encoder.encode, remembered=500, longest=12)
+    texts = [r.text or "" for r in documents.limit(120).collect()]
+    texts += ["", " ", "one", " x" * 50, "y" * 40 + " " + "z" * 40, "a  b \n c\n d", "tab\there é è x", "l'été <|endoftext|> x<|endoftext|>y", "\x1c a \x85 b"]
+    for _ in range(2):
+        for first in range(0, len(texts), 25):
+            part = texts[first : first + 25]
+            assert [np.frombuffer(d, "<u4").tolist() for d in table(part)] == [library.encode(t, add_special_tokens=False).ids for t in part]
+    assert table([]) == []
+
+
+def test_files_of_another_pattern_are_refused(tmp_path):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        spec = json.load(file)
+    for change in ({"pre_tokenizer": None}, {"pre_tokenizer": {"type": "Whitespace"}}, {"normalizer": {"type": "NFC"}}):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError, match="byte-level"):
+            token_files.library_encoder.__wrapped__(str(path))
+        with pytest.raises(ValueError, match="byte-level"):
+            bpe.PairIndexBpe(str(path))
+
+
+def test_near_classes_of_ids_with_several_texts(spark):
+    """As many rows as come in; an id's texts bring their classes together."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdefghij") + str(rng.randint(0, 99)) for _ in range(80)) for _ in range(6)]
+    near = [t + " tail" for t in texts]
+    rows = [(1, texts[0]), (2, near[0]), (5, texts[0]), (5, texts[1]), (3, near[1]), (4, texts[1]), (5, texts[0])]
+    rows += [(7, texts[2]), (8, near[2]), (9, texts[3]), (9, texts[4]), (None, texts[2]), (None, texts[0]), (10, None), (10, ""), (11, texts[5])]
+    docs = spark.createDataFrame([(i, t, 0, "c") for i, t in rows], "doc_id long, text string, node long, class string")
+    got = near_dedup.near_classes(docs).collect()
+    of = {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 7: 7, 8: 7, 9: 9, 10: 10, 11: 11}
+    sizes = Counter(of[i] for i, _ in rows if i is not None)
+    expected = Counter((i, of.get(i), sizes.get(of.get(i), 1), i is None or of[i] == i) for i, _ in rows)
+    assert Counter(map(tuple, got)) == expected
+    kept = Counter(r.doc_id for r in near_dedup.near_dedup(docs).collect())
+    assert kept == Counter({1: 1, 7: 1, 9: 2, None: 2, 10: 2, 11: 1})
