@@ -13,7 +13,8 @@ classifier learns from at most about `fit_rows` labelled rows (those with the sm
 doc_id); counts, posteriors and rates cover all documents and whole texts.
 
 Defined results: a null or empty text has no words, the prior as its posterior, and no weight in the
-totals; labels without a domain (nulls) and labels of unknown documents teach nothing; a doc_id
+totals; rates are bounded by 1 unless `max_rate` is None, as no document is to be repeated: a departure from rates that
+are merely nonnegative, under which a target may be missed by the tokens that its documents have too few of; labels without a domain (nulls) and labels of unknown documents teach nothing; a doc_id
 labelled twice counts twice. Without any label all domains are alike. Repeated rows get equal rates.
 Further columns pass unchanged. An empty table gives an empty table.
 """
@@ -186,14 +187,16 @@ def fit_rates(
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, **options) -> DataFrame:
-    """doc_id, n_tokens, p_<domain> and rate of every document."""
+    """doc_id, n_tokens, p_<domain> and rate of every document; beside them, alike in all rows, the target and the
+    reached expected tokens of each domain."""
     narrow = pinned(posteriors(docs, fit_classifier(docs, labels), F.col("doc_id")))
-    steps, _, _ = fit_rates(narrow, weights, **options)
+    steps, targets, reached = fit_rates(narrow, weights, **options)
     return narrow.select(
         "doc_id",
         "n_tokens",
         *[F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(DOMAINS)],
         _rate(F.col("p"), steps, options.get("max_rate", 1.0)).alias("rate"),
+        *[F.lit(float(v)).alias(f"{name}_{d}") for name, of in (("target", targets), ("reached", reached)) for d, v in zip(DOMAINS, of, strict=True)],
     )
 
 
