@@ -54,6 +54,11 @@ _BLOCK_WORDS = 1 << 20
 Key = tuple[bytes, ...]
 
 
+def language(lang: bytes) -> bytes:
+    """A language as a symbol: never empty, and no word."""
+    return b"\xfe" + lang
+
+
 def tokens(text: bytes) -> Iterator[list[bytes]]:
     """Words of a text with a BREAK between pieces, in slices of about a megabyte."""
     at = 0
@@ -298,7 +303,7 @@ def shard_automata(texts: DataFrame, bounds: list[Key]) -> DataFrame:
                 )
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for lang, text in zip(map(language, batch.column(0).to_pylist()), batch.column(1)):
                 for words in tokens(text.as_py()):
                     block.add(lang, words)
                     if block.words >= _BLOCK_WORDS:
@@ -355,7 +360,7 @@ def _often(automaton: CountAutomaton, least: int, bounds: Sequence[Key], number:
         for row, f in zip(automaton.paths(level, states).tolist(), weight[states].tolist()):
             path = tuple(row[: level + 1])
             words = [automaton.symbols[k] for k in path]
-            yield words[0].decode(), b" ".join(words[1:]).decode(), level, f, level == 0 or path in on_edge
+            yield words[0][1:].decode(), b" ".join(words[1:]).decode(), level, f, level == 0 or path in on_edge
 
 
 def united(pieces: DataFrame, bounds: list[Key], least: int) -> DataFrame:
@@ -399,7 +404,7 @@ def range_bounds(texts: DataFrame, range_bytes: int) -> list[Key]:
                     words.pop(0)
                 end = words.index(BREAK) if BREAK in words else len(words)
                 if end:
-                    keys.append([s[:KEY_BYTES] for s in (lang, *words[: min(end, LONGEST)])])
+                    keys.append([s[:KEY_BYTES] for s in (language(lang), *words[: min(end, LONGEST)])])
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.list_(pa.binary()))], names=["key"])
 
     keys = sorted(tuple(map(bytes, r["key"])) for r in sampled.mapInArrow(run, "key array<binary>").collect())
@@ -431,7 +436,7 @@ def _asks(counts: DataFrame, bounds: list[Key]) -> DataFrame:
                 words = phrase.split(" ")
                 parts = [(0, "first", [])] + [(k, "first", words[:k]) for k in range(1, n)] + [(k, "rest", words[k:]) for k in range(1, n)]
                 for k, side, part in parts:
-                    key = (lang.encode(), *(word.encode() for word in part))
+                    key = (language(lang.encode()), *(word.encode() for word in part))
                     rows.append((range_of(key, bounds), " ".join(part), lang, phrase, n, a, k, side))
             columns = list(zip(*rows)) or [[]] * 8
             kinds = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.string()]
@@ -445,7 +450,7 @@ def _with_range(counts: DataFrame, bounds: list[Key]) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            of = [range_of((lang.encode(), *(phrase.encode().split(b" ") if phrase else ())), bounds) for lang, phrase in keys]
+            of = [range_of(tuple(path), bounds) for path in _paths(*zip(*keys))] if batch.num_rows else []
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(of, pa.int32())], names=["lang", "phrase", "f", "own_range"])
 
     return counts.select("lang", "phrase", "f").mapInArrow(run, "lang string, phrase string, f bigint, own_range int")
@@ -459,8 +464,8 @@ def _rows_of(paths: list[list[bytes]], label: dict[bytes, int]) -> np.ndarray:
     return rows
 
 
-def _paths(langs: pd.Series, phrases: pd.Series) -> list[list[bytes]]:
-    return [[lang.encode(), *(phrase.encode().split(b" ") if phrase else ())] for lang, phrase in zip(langs, phrases)]
+def _paths(langs: Iterable[str], phrases: Iterable[str]) -> list[list[bytes]]:
+    return [[language(lang.encode()), *(phrase.encode().split(b" ") if phrase else ())] for lang, phrase in zip(langs, phrases)]
 
 
 def _composed(asks: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:

@@ -47,6 +47,7 @@ def test_collocations(spark, edges, range_bytes):
     rng = random.Random(1)
     common = "the hot pair of words"
     rows = [(rng.choice(["en", "fr", None]), " ".join(rng.choice([common, "The hot pair", "a b c d e f", "x\ty", "é, w.", f"w{rng.randint(0, 30)}"]) for _ in range(40))) for _ in range(150)]
+    rows += [("", "one two three " * 30), ("a", "one two three " * 30)]
     rows += [("de", "same same same same same same " * 30), ("de", None), ("de", ""), ("xx", "\x00     \x00     ." * 40)]
     rows += [(r.lang, r.text) for r in edges.collect()]
     docs = spark.createDataFrame([(t, lang, 1, 2, "c") for lang, t in rows], "text string, lang string, n int, phrase int, f string")
