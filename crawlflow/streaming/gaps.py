@@ -72,9 +72,13 @@ class Places:
 
     def gaps(self) -> DataFrame:
         """topic, partition, first, last and messages of every gap so far."""
-        schema = "batch_id long, topic string, partition int, first long, last long"
-        rows = [tuple(g.values()) for n in self._batches() for g in self._read(n)["gaps"]]
-        return self.spark.createDataFrame(rows, schema).withColumn("messages", F.col("last") - F.col("first") + 1)
+        gap = "batch_id long, topic string, partition int, first long, last long"
+        if not self._files().exists(f"{self.folder}/places"):
+            found = self.spark.createDataFrame([], gap)
+        else:
+            schema = "gaps array<struct<" + ", ".join(part.replace(" ", ": ") for part in gap.split(", ")) + ">>"
+            found = self.spark.read.schema(schema).json(f"{self.folder}/places").select(F.inline("gaps"))
+        return found.withColumn("messages", F.col("last") - F.col("first") + 1)
 
     def _path(self, batch_id: int) -> str:
         return f"{self.folder}/places/{batch_id:020d}.json"
@@ -89,8 +93,11 @@ class Places:
         return json.loads(self.spark.read.text(self._path(batch_id), wholetext=True).first()["value"])
 
     def _before(self, batch_id: int) -> dict[tuple[str, int], int]:
-        earlier = [n for n in self._batches() if n < batch_id]
-        return {(t, p): last for t, p, last in self._read(earlier[-1])["last"]} if earlier else {}
+        near = range(batch_id - 1, max(-1, batch_id - 9), -1)
+        newest = next((n for n in near if self._files().exists(self._path(n))), None)
+        if newest is None:  # the first batch, or one after many without messages
+            newest = max((n for n in self._batches() if n < batch_id), default=None)
+        return {} if newest is None else {(t, p): last for t, p, last in self._read(newest)["last"]}
 
     def _record(self, batch_id: int, last: dict[tuple[str, int], int], gaps: list[Gap]) -> None:
         files = self._files()

@@ -161,11 +161,14 @@ def test_messages_that_expired_are_counted_or_refused(spark, tmp_path, strict):
 
 def test_places_of_a_batch_that_runs_again(spark, tmp_path):
     places = Places(spark, str(tmp_path))
+    assert places.gaps().count() == 0
     assert places.check(sent(spark, 0, 5), 0) == []
     gap = [Gap(1, "forum", 0, 5, 7)]
     assert places.check(sent(spark, 8, 9), 1) == gap == places.check(sent(spark, 8, 9), 1)
     assert places.check(messages(spark, ["a"], topic="new", first=40), 2) == []
     assert places.check(sent(spark, 9, 10), 3) == [] and places.gaps().count() == 1
+    # After many batches without messages.
+    assert places.check(sent(spark, 10, 12), 50) == [] and places.check(sent(spark, 14, 15), 51) == [Gap(51, "forum", 0, 12, 13)]
     with pytest.raises(LostDataError):
         Places(spark, str(tmp_path), strict=True).check(sent(spark, 20, 21), 4)
 
