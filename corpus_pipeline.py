@@ -18,6 +18,7 @@ from crawlflow.llm.mixing import mix
 from crawlflow.llm.near_dedup import near_dedup
 from crawlflow.llm.quality_rules import keep_quality
 from crawlflow.llm.shared import scratch_root, table
+from crawlflow.sources.shared_files import SharedFiles
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -60,10 +61,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
+    """All stages over documents; what a stage wrote is removed once the next one's output is there."""
     folder = f"{scratch_root(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
-        docs = spark.read.parquet(f"{folder}/{k}-{name}")
+        place = f"{folder}/{k}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(place)
+        docs = spark.read.parquet(place)
+        if before:
+            SharedFiles(spark, folder).delete(before)
+        before = place
     return docs
