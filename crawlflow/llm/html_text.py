@@ -1,18 +1,23 @@
 """Main text of a page by composite text density.
 
-Every node gets its density: characters per tag, weakened by the share of them that stands in links.
-The node with the largest sum of its children's densities is the core; the lowest density on its path up
-to the body is the threshold. The main text is the outermost article or main element around the core. In a
-page without one it is the whole body, as every node on the path reaches the threshold. Lists and boxes of
-links below the threshold are dropped, and so are elements that by name, role or class are no text of an
-article (menus, headers, footers, sidebars, notices, adverts, forms, comments). A class or id counts as a
-whole token, and never on an article or main element. Such an element stays if it holds most of the page's
-text and all of its article text, or nearly all text of the article that it lies in. What is never shown
-(scripts, styles, templates, hidden elements) has no text.
-
-One pass per page without recursion, so deep and long pages are safe. Defined results: a null or empty
-page has no text; text without any element is one block; unclosed and crossing tags are closed as
-browsers do in simple cases; malformed declarations (`<![x[y]]>`) are comments. Repeated rows get equal results. Further columns are not read.
+Every node gets its density: characters per tag, weakened by the share of them that stands in links. The node
+with the largest sum of its children's densities is the core; the lowest density on its path up to the body is
+the threshold. In a page with articles the main text is the outermost article around the core, else the main
+element around it. In a page without, it is the core's subtree, the words of the nodes on its path, all nodes
+beside the path that reach two thirds of the mean density of the core's children (by their characters), and
+the headings right before any of these; unnamed menus, tag lines and footers do not. (The composite density
+grows with the size of a node: no single paragraph reaches the path's threshold in a page without links, so
+blocks are held against blocks.) Lists and boxes of links below the threshold are dropped, and as a second
+rule so are elements that by name, role or class are no text of an article (menus, headers, footers, sidebars,
+notices, adverts, forms, comments). A class or id counts as a whole token, and never on an article or main
+element. Such an element stays if it holds most of the page's text and all of its article text, or nearly all
+text of the article that it lies in. What is never shown (scripts, styles, templates, hidden elements) has no
+text.
+
+One pass per page without recursion, so deep and long pages are safe. Defined results: a null or empty page
+has no text; text without any element is one block; unclosed and crossing tags are closed as browsers do in
+simple cases; malformed declarations (`<![x[y]]>`) are comments. Repeated rows get equal results. Further
+columns are not read.
 """
 
 from __future__ import annotations
@@ -51,6 +56,7 @@ ROLES = set("navigation banner contentinfo complementary search dialog alert for
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = set("ul ol dl table body html div article section main td th".split())
 BOXES = set("div section ul ol dl table".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 
 
 class Page(HTMLParser):
@@ -185,6 +191,34 @@ def _densities(page: Page, gone: list[bool]) -> tuple[list[float], list[float],
     return density, sums, chars, link_chars, link_tags
 
 
+def _by_threshold(
+    page: Page, gone: list[bool], density: list[float], chars: list[int], path: list[int], least: float
+) -> list[bool]:
+    """The main text of a page without article: the core, what reaches the least density, and headings right before them.
+
+    Nodes of the path hold both text and other things: they count for their own words only.
+    """
+    n, core, on_path = len(page.parent), path[0], set(path)
+    whole = [False] * n
+    headed = [0] * n  # characters in headings
+    for i in range(1, n):
+        loose = i not in on_path and (density[i] >= least or page.name[i] in INLINE - {"a"} and page.parent[i] in on_path)
+        whole[i] = i == core or whole[page.parent[i]] or loose
+    for i in range(n - 1, 0, -1):
+        headed[i] = chars[i] if page.name[i] in HEADINGS else headed[i]
+        headed[page.parent[i]] += headed[i]
+    following: dict[int, int] = {}  # of each parent, the sibling after the one in work
+    for i in range(n - 1, 0, -1):
+        after = following.get(page.parent[i])
+        if after is not None and 0 < headed[i] == chars[i] and (whole[after] or after in on_path):
+            whole[i] = True
+        if not gone[i] and chars[i]:
+            following[page.parent[i]] = i
+    for i in range(1, n):
+        whole[i] = whole[i] or whole[page.parent[i]]
+    return [whole[i] or i in on_path for i in range(n)]
+
+
 def extract(html: str) -> str:
     page = Page()
     page.feed(html)
@@ -198,13 +232,21 @@ def extract(html: str) -> str:
     while path[-1]:
         path.append(page.parent[path[-1]])
     threshold = min(density[i] for i in path)
-    root = next((i for i in reversed(path) if page.name[i] in ("article", "main")), 0)
+    root = next((i for name in ("article", "main") for i in reversed(path) if page.name[i] == name), 0)
     n = len(page.parent)
+    if root or not core:
+        picked = [i == root for i in range(n)]
+        for i in range(root + 1, n):
+            picked[i] = picked[page.parent[i]]
+    else:
+        blocks_of = [i for i in range(n) if page.parent[i] == core and not gone[i]]
+        mean = sum(density[i] * chars[i] for i in blocks_of) / max(1, sum(chars[i] for i in blocks_of))
+        picked = _by_threshold(page, gone, density, chars, path, mean * 2 / 3)
     inside = [False] * n
-    inside[root] = True
+    inside[root] = picked[root]
     for i in range(root + 1, n):
         links_box = page.name[i] in BOXES and link_tags[i] > 1 and density[i] < threshold and 2 * link_chars[i] > chars[i]
-        inside[i] = inside[page.parent[i]] and not gone[i] and not links_box
+        inside[i] = picked[i] and inside[page.parent[i]] and not gone[i] and not links_box
     blocks: list[str] = []
     current: list[str] = []
     for node, text in page.items:

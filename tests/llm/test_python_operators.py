@@ -125,6 +125,23 @@ WHOLE_PAGES = {
 }
 
 
+def test_unnamed_boxes_of_pages_without_article_stay_below_the_threshold():
+    text = f"<div><h2>Head</h2>{f'<p>{LINE}</p>' * 4}</div>"
+    menu = "<div><a href=a>Home</a> <a href=b>News</a> <a href=c>About us</a></div>"
+    lines = "\n".join(["Head", *[LINE] * 4])
+    around = f"<body><div>Site name tag line</div>{menu}{text}<div>Copyright 2024 All rights reserved</div></body>"
+    assert html_text.extract(around) == lines
+    # A second container of text, a title in a box of its own, and loose words of the body.
+    more = f"<body><div>Tag line</div><div><h1>Title</h1></div>{text}Loose words.<div><p>{LINE}</p><p>{LINE}</p></div><p>Imprint</p></body>"
+    assert html_text.extract(more) == f"Title\n{lines}\nLoose words.\n{LINE}\n{LINE}"
+
+
+def test_what_lies_beside_the_article_in_main_goes():
+    teaser = "<div><h3>Teaser</h3><p>Read this other story of ours about something else.</p></div>"
+    page = f"<body><main>{teaser}<article><h1>Head</h1>{f'<p>{LINE}</p>' * 3}</article>{teaser}</main></body>"
+    assert html_text.extract(page) == "\n".join(["Head", *[LINE] * 3])
+
+
 def test_html_drops_nothing_else():
     for page, expected in WHOLE_PAGES.items():
         assert html_text.extract(page) == expected, page
