@@ -24,6 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from crawlflow.llm.pieces import PieceEncoder, portions, require_pattern
+from crawlflow.llm.shared import at_rest
 
 # The pattern of pre-tokens of the vocabulary, with white space spelt out.
 PRETOKEN = (
@@ -207,7 +208,7 @@ def encode_column(docs: DataFrame, path: str) -> DataFrame:
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(at_rest(run, lambda: bpe_of(path).pieces.forget()), f"doc_id {kind}, ids array<int>")
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
@@ -231,4 +232,4 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(at_rest(run, lambda: bpe_of(path).pieces.forget()), schema)

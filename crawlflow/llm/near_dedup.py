@@ -40,10 +40,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlflow.llm.pieces import portions
-from crawlflow.llm.shared import pinned
+from crawlflow.llm.shared import at_rest, pinned
 
 SHINGLE = 5
 WORD_IDS: dict[str, int] = {}  # hashes of words, remembered by a worker
+REMEMBERED, KEPT = 200_000, 50_000  # words within a task, and from one task to the next
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -56,7 +57,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(words: list[str]) -> np.ndarray:
     new = set(words).difference(WORD_IDS)
-    if len(WORD_IDS) > 800_000:
+    if len(WORD_IDS) > REMEMBERED:
         WORD_IDS.clear()
         new = set(words)
     for word in new:
@@ -64,6 +65,12 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return np.fromiter(map(WORD_IDS.__getitem__, words), np.uint64, len(words))
 
 
+def forget_words() -> None:
+    """What a worker does after a task: many words are forgotten."""
+    if len(WORD_IDS) > KEPT:
+        WORD_IDS.clear()
+
+
 def shingles(text: str) -> np.ndarray:
     """Hashes of the five-word shingles, with repeats."""
     words = text.lower().split()
@@ -146,7 +153,7 @@ def _signed(bands: int, rows: int):
                     names=["doc_id", "content", "keys"],
                 )
 
-    return run
+    return at_rest(run, forget_words)
 
 
 def signed(docs: DataFrame, bands: int = 24, rows: int = 5) -> DataFrame:
@@ -179,7 +186,7 @@ def _compared(least: float):
                 names=["lead", "member", "similarity"],
             )
 
-    return run
+    return at_rest(run, forget_words)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float, chunk: int = 256) -> DataFrame:
@@ -425,7 +432,7 @@ def _against_block(least: float):
                 names=["lead", "member", "similarity"],
             )
 
-    return run
+    return at_rest(run, forget_words)
 
 
 def _links_in_blocks(members: DataFrame, texts: DataFrame, least: float, block: int = 256) -> DataFrame:

@@ -62,6 +62,11 @@ class PieceEncoder:
         self.remembered, self.longest = remembered, longest
         self.known: dict[str, bytes] = {}
 
+    def forget(self, kept: int = 100_000) -> None:
+        """What a worker does after a task: many pieces are forgotten."""
+        if len(self.known) > kept:
+            self.known.clear()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.remembered:
             self.known.clear()

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,31 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; a worker that waits for its next task would keep it."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def at_rest(
+    run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], forget: Callable[[], None]
+) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run` for tasks, after each of which the worker forgets and gives back what it no longer needs.
+
+    Workers outlive their tasks, and those of one executor serve every operator: what all have left lies side by side.
+    """
+
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            forget()
+            give_back()
+
+    return whole
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with `value` computed once, however often the body names it."""
     return F.transform(F.array(value), body)[0]

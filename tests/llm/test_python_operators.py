@@ -8,7 +8,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from crawlflow.llm import bpe, html_text, near_dedup, token_files
@@ -297,3 +299,18 @@ def test_near_classes_of_ids_with_several_texts(spark):
     assert Counter(map(tuple, got)) == expected
     kept = Counter(r.doc_id for r in near_dedup.near_dedup(docs).collect())
     assert kept == Counter({1: 1, 7: 1, 9: 2, None: 2, 10: 2, 11: 1})
+
+
+def test_workers_remember_little_between_tasks(spark):
+    texts = [" ".join(f"w{i}x{k}" for k in range(1000)) for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+
+    def left(batches):
+        for _ in batches:
+            told = len(near_dedup.WORD_IDS), len(bpe.bpe_of(PATH).pieces.known)
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()) for n in told], names=["words", "pieces"])
+
+    assert near_dedup.signed(docs).filter("size(keys) = 24").count() == 120
+    assert bpe.round_trip(docs, PATH).filter("n_tokens > 1000").count() == 120
+    found = spark.range(64).repartition(16).mapInArrow(left, "words long, pieces long").collect()
+    assert found and all(row["words"] <= 100_000 and row["pieces"] <= 100_000 for row in found)
