@@ -99,7 +99,14 @@ class KeyedStore:
         write = out.write.mode("overwrite" if replay else "errorifexists").partitionBy("table", "family")
         if max_records_per_file:
             write = write.option("maxRecordsPerFile", max_records_per_file)
-        write.parquet(f"{self.root}/log/writer={folder_name(writer)}/run={folder_name(run)}/batch_id={batch_id}")
+        write.parquet(self._batch_folder(writer, run, batch_id))
+
+    def has_batch(self, writer: str, run: str, batch_id: int) -> bool:
+        """Whether the batch has a folder, finished or not."""
+        return SharedFiles(self.spark, self.root).exists(self._batch_folder(writer, run, batch_id))
+
+    def _batch_folder(self, writer: str, run: str, batch_id: int) -> str:
+        return f"{self.root}/log/writer={folder_name(writer)}/run={folder_name(run)}/batch_id={batch_id}"
 
     def cells(
         self,

@@ -78,8 +78,10 @@ def batch_writer(
     max_records_per_file: int | None = None,
     places: Places | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Function for `foreachBatch`: ingest one micro-batch, nothing for an empty one.
+    """Function for `foreachBatch`: ingest one micro-batch.
 
+    Only a batch that runs again is first asked whether it is empty, its source having expired: it leaves what
+    it wrote. A new empty batch writes no cells; to ask each batch would cost a job of its own.
     The run is the stream's id, which its checkpoint keeps over restarts.
     `prepare` turns the rows of the source into messages, such as `from_lines`.
     `places` looks for messages that expired before the batch. A spec with `for_batch`
@@ -88,13 +90,14 @@ def batch_writer(
     clock = now or (lambda: datetime.now(timezone.utc))
 
     def write(messages: DataFrame, batch_id: int) -> None:
-        if not messages.isEmpty():
-            batch = prepare(messages) if prepare else messages
-            run = stream_run(messages)
-            if places:
-                places.check(batch, batch_id)
-            own = spec.for_batch(run, batch_id) if hasattr(spec, "for_batch") else spec
-            run_batch(own, batch, store, clock(), batch_id, zone, max_records_per_file, even_files, run=run, replay=True)
+        run = stream_run(messages)
+        if store.has_batch(spec.name, run, batch_id) and messages.isEmpty():
+            return
+        batch = prepare(messages) if prepare else messages
+        if places:
+            places.check(batch, batch_id)
+        own = spec.for_batch(run, batch_id) if hasattr(spec, "for_batch") else spec
+        run_batch(own, batch, store, clock(), batch_id, zone, max_records_per_file, even_files, run=run, replay=True)
 
     return write
 

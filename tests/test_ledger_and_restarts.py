@@ -16,7 +16,7 @@ from crawlflow.sources.ledger import LedgerTable
 from crawlflow.sources.messages import files_for, land_messages, stream_message_files, stream_text
 from crawlflow.sources.shared_files import SharedFiles
 from crawlflow.streaming.gaps import Gap, LostDataError, Places
-from crawlflow.streaming.runs import run_batch, run_inserts, run_stream, run_topics
+from crawlflow.streaming.runs import batch_writer, run_batch, run_inserts, run_stream, run_topics
 from tests.test_store_and_streams import NOW, messages, values
 
 
@@ -208,6 +208,24 @@ def test_batches_are_capped_by_rows(spark, tmp_path):
         stream_message_files(spark, inbox, max_rows=5)
 
 
+def test_a_batch_is_read_once_and_an_expired_replay_keeps_its_cells(spark, tmp_path):
+    inbox, store = str(tmp_path / "in"), KeyedStore(spark, str(tmp_path / "s"))
+    land_messages(sent(spark, 0, 40).repartition(2), inbox, 10)
+    source = stream_message_files(spark, inbox, max_rows=20, rows_per_file=10)
+    query = run_stream(jobs.FORUM, source, store, str(tmp_path / "ck"), available_now=True)
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 40
+    stored = values(store.latest("forum"))
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", query.id)
+    try:
+        write = batch_writer(jobs.FORUM, store)
+        write(sent(spark, 0, 0), 0)
+        write(sent(spark, 0, 0), 99)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert len(stored) == 80 and values(store.latest("forum")) == stored
+
+
 def test_a_dimension_that_changes_between_batches(spark, tmp_path):
     dimension = VersionedDimension(spark, str(tmp_path), SITE_SCHEMA)
     with pytest.raises(ValueError, match="no version"):
