@@ -26,16 +26,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crawlflow.llm.pieces import PieceTable, portions, require_pattern
+from crawlflow.llm.pieces import PieceTable, require_pattern, spans
 from crawlflow.llm.shared import pinned, scratch_root, text_of
 
-LETTERS = regex.compile(r"\p{L}*")
 BLOCK_SCHEMA = (
     "part int, block int, first bigint, n_ids int, head int, kind string, planes array<binary>, "
     "doc_ids array<bigint>, doc_starts array<bigint>, doc_sizes array<bigint>"
@@ -46,9 +45,8 @@ BLOCK_SCHEMA = (
 def library_encoder(path: str) -> PieceTable:
     """Ids by the tokenizers library, 32 bits each.
 
-    Pieces that begin with letters end a token after them, so that the distinct letter runs and the
-    distinct rests are encoded alone; runs go to the library in rows, whose ids are cut where a space
-    begins one. A file of another pattern than the cut's is refused.
+    Words go to the library in rows, whose ids are cut where a space begins one. A file of another
+    pattern than the cut's is refused.
     """
     require_pattern(path)
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -68,23 +66,15 @@ def library_encoder(path: str) -> PieceTable:
     def encode(strings: list[str]) -> list[bytes]:
         return [ids.tobytes() for ids in ids_of(strings)]
 
-    def encode_runs(runs: list[str]) -> list[bytes]:
+    def encode_words(words: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        for ids in ids_of(["".join([" " + run for run in runs[i : i + 64]]) for i in range(0, len(runs), 64)]):
+        for ids in ids_of(["".join([" " + word for word in words[i : i + 64]]) for i in range(0, len(words), 64)]):
             data = ids.tobytes()
             cuts = [*(4 * np.flatnonzero(begins[ids])).tolist(), len(data)]
             out += [data[a:b] for a, b in itertools.pairwise(cuts)]
         return out
 
-    def encode_plain(pieces: list[str]) -> list[bytes]:
-        runs = [p if p.isalpha() else LETTERS.match(p).group() for p in pieces]
-        rests = [p[len(run) :] if run else " " + p for p, run in zip(pieces, runs, strict=True)]
-        distinct_runs, distinct_rests = list(set(runs) - {""}), list(set(rests))
-        of_run = dict(zip(distinct_runs, encode_runs(distinct_runs), strict=True)) | {"": b""}
-        of_rest = dict(zip(distinct_rests, encode(distinct_rests), strict=True))
-        return [of_run[run] + of_rest[rest] for run, rest in zip(runs, rests, strict=True)]
-
-    return PieceTable(encode_plain, encode)
+    return PieceTable(encode_words, encode)
 
 
 def to_planes(ids: np.ndarray, kind: str, level: int = 3) -> list[bytes]:
@@ -130,10 +120,9 @@ def _blocks(path: str, end_id: int, block: int, kind: str):
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], names=names)
 
         for batch in batches:
-            doc_ids = batch.column(0).to_pylist()
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for i, j in portions(texts, 3_000_000):
-                for doc_id, coded in zip(doc_ids[i:j], library_encoder(path)(texts[i:j]), strict=True):
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            for i, j in spans(pc.binary_length(texts).to_pylist(), 8_000_000):
+                for doc_id, coded in zip(doc_ids[i:j], library_encoder(path)(texts.slice(i, j - i)), strict=True):
                     data = coded + end
                     index.append((doc_id, done + size, len(data) // 4))
                     at, n = 0, len(data) // 4

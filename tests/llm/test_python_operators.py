@@ -272,6 +272,42 @@ def test_piece_table_gives_the_librarys_ids(library, documents):
     assert table([]) == []
 
 
+def test_piece_table_on_arrow_portions(library):
+    """Letters of one to four bytes, pieces without any, odd white space beside plain texts, slices, and 64-bit offsets."""
+    rng = random.Random(8)
+    words = ["a", "don't", "é1", "漢字、漢", "𝒜𝒷c", "ǅ", "ª²", "٣x", "—", "x\ny", "<|endoftext|>", "v<|endoftext|>w", "q" * 70, "#" * 70, "🙂ok", "e\u0301t"]
+    gaps = [" "] * 30 + ["  ", " \n", "\n ", "\t", "\u3000"]
+    texts = ["".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.randint(0, 12))) for _ in range(600)]
+    texts += [" ".join(rng.choice(words) for _ in range(40)) for _ in range(200)]
+    rng.shuffle(texts)
+    expected = [u32(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    encoder = token_files.library_encoder(PATH)
+    table = PieceTable(encoder.encode_plain, encoder.encode, remembered=20)
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(texts, kind)
+        assert [d for i in range(0, len(texts), 7) for d in table(column.slice(i, 7))] == expected
+    assert table([""]) == [b""] and table(column.slice(0, 0)) == []
+
+
+def test_piece_table_encodes_a_word_once():
+    """Whatever follows it, and whatever else is forgotten if many portions hold it."""
+    encoder = token_files.library_encoder(PATH)
+    given = Counter()
+
+    def encode_plain(pieces):
+        given.update(p.rstrip(",.!") for p in pieces)
+        return encoder.encode_plain(pieces)
+
+    table = PieceTable(encode_plain, encoder.encode, remembered=100)
+    often = ["alpha", "beta", "gamma", "delta"]
+    letters = "abcdefghij"
+    for i in range(12):
+        rare = ["z" + letters[i // 10] + letters[i % 10] + letters[k // 10] + letters[k % 10] for k in range(30)]
+        table(["x " + " ".join(w + mark for w in often for mark in ("", ",", ".", "!")), "x " + " ".join(rare)])
+        assert len(table.ends) <= 160
+    assert {w: given[w] for w in often} == dict.fromkeys(often, 1)
+
+
 def test_files_of_another_pattern_are_refused(tmp_path):
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         spec = json.load(file)
