@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crawlflow.llm.pieces import PieceTable, require_pattern, spans
-from crawlflow.llm.shared import pinned, scratch_root, text_of
+from crawlflow.llm.shared import at_rest, pinned, scratch_root, text_of
 
 BLOCK_SCHEMA = (
     "part int, block int, first bigint, n_ids int, head int, kind string, planes array<binary>, "
@@ -152,7 +152,8 @@ def write_token_files(
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
     ordered = keyed.withColumn("h", F.xxhash64("text")).repartitionByRange(parts, "doc_id", "h")
     ordered = ordered.sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
-    ordered.mapInArrow(_blocks(path, end_id, block, kind), BLOCK_SCHEMA).write.parquet(f"{folder}/blocks")
+    blocks = at_rest(_blocks(path, end_id, block, kind), lambda: None)  # the table of pieces stays
+    ordered.mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(f"{folder}/blocks")
     totals = spark.read.parquet(f"{folder}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a part
     totals.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0))).write.parquet(f"{folder}/parts")
